@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,12 +68,18 @@ JOB_REJECT_RATE = 0.5
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+@cache
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table; its schema is looked up once per session."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw view over the tables of a folder."""
     configure(spark)
     sql = RAW_VIEWS[name]
     used = [t for t in TABLES if "{" + t + "}" in sql]
-    return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:

@@ -57,6 +57,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with partitions of about PARTITION_BYTES; give their number.
+
+    Spark merges partitions that turn out small, but does not cut ones that
+    turn out large, so the number follows the input.  It never goes below the
+    session's own setting.
+    """
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(own, min(MOST_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's checkpoint folder.
 

@@ -144,12 +144,8 @@ TELEMETRY = Dataset(
     columns=TELEMETRY_COLUMNS,
     keys=EVENT_KEY,
     rules=telemetry_rules,
-    casts={
-        "vin": norm_id,
-        "event_timestamp": to_ts,
-        **dict.fromkeys(SENSORS, to_number),
-        **dict.fromkeys(("dtc_code", "severity", "country"), F.upper),
-    },
+    casts={"vin": norm_id, **dict.fromkeys(("dtc_code", "severity", "country"), F.upper)},
+    parsers={"event_timestamp": to_ts, **dict.fromkeys(SENSORS, to_number)},
     derived={"event_date": lambda: F.to_date("event_timestamp")},
 )
 
@@ -162,13 +158,15 @@ SERVICE = Dataset(
     casts={
         "vin": norm_id,
         "dealer_id": trim_upper,
-        "service_open_timestamp": to_ts,
-        "service_close_timestamp": to_ts,
         "service_type": norm_code,
         "warranty_flag": to_flag,
+        "service_status": norm_code,
+    },
+    parsers={
+        "service_open_timestamp": to_ts,
+        "service_close_timestamp": to_ts,
         "labor_hours": to_number,
         "parts_cost": partial(to_number, type_name="decimal(12,2)"),
-        "service_status": norm_code,
     },
     derived={
         "service_date": lambda: F.to_date("service_open_timestamp"),
@@ -187,10 +185,9 @@ VEHICLES = Dataset(
     casts={
         "vin": norm_id,
         "model": title_case,
-        "model_year": partial(to_number, type_name="int"),
-        "warranty_start_date": to_dt,
         **dict.fromkeys(("powertrain", "production_plant", "customer_region"), F.upper),
     },
+    parsers={"model_year": partial(to_number, type_name="int"), "warranty_start_date": to_dt},
 )
 
 DEALERS = Dataset(

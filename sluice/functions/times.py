@@ -20,14 +20,16 @@ def to_ts(col: Column, patterns: Sequence[str] = TIMESTAMP_PATTERNS) -> Column:
     Only text that starts with a year is cast: Spark would read ``12:30`` as
     today at half past twelve, which a later run could not reproduce.
     """
-    cast = F.when(col.rlike(STARTS_WITH_YEAR), col).try_cast("timestamp")
-    return F.coalesce(cast, *[F.try_to_timestamp(col, F.lit(p)) for p in patterns])
+    text = F.trim(col)
+    cast = F.when(text.rlike(STARTS_WITH_YEAR), text).try_cast("timestamp")
+    return F.coalesce(cast, *[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
 
 
 def to_dt(col: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
     """Cast, else the patterns in turn, else NULL."""
-    parsed = [F.to_date(F.try_to_timestamp(col, F.lit(p))) for p in patterns]
-    return F.coalesce(col.try_cast("date"), *parsed)
+    text = F.trim(col)
+    parsed = [F.to_date(F.try_to_timestamp(text, F.lit(p))) for p in patterns]
+    return F.coalesce(text.try_cast("date"), *parsed)
 
 
 def hours_between(start: Column, end: Column) -> Column:

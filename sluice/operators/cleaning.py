@@ -18,7 +18,12 @@ COPIES = "_copies"
 
 @dataclass(frozen=True)
 class Dataset:
-    """All that is particular to one raw table."""
+    """All that is particular to one raw table.
+
+    ``casts`` work on text without null markers.  ``parsers`` are given the raw
+    text: no marker is a number or a time, so they make it NULL by themselves
+    and the search for markers is saved.
+    """
 
     name: str
     file_name: str
@@ -26,6 +31,7 @@ class Dataset:
     keys: tuple[str, ...]
     rules: Callable[[Run], Sequence[Rule]]
     casts: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
+    parsers: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
     derived: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
 
 
@@ -50,7 +56,10 @@ def provenance(run: Run) -> dict[str, Column]:
 
 def clean(raw: DataFrame, spec: Dataset) -> DataFrame:
     """Typed columns of one dataset; columns the spec does not know pass through."""
+
     def typed(name: str) -> Column:
+        if name in spec.parsers:
+            return spec.parsers[name](F.col(name)).alias(name)
         step = spec.casts.get(name)
         text = nullify(F.col(name))
         return (step(text) if step else text).alias(name)

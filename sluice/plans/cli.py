@@ -8,13 +8,14 @@ import sys
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from sluice.context import Run, resolve_business_date
 from sluice.domains import vehicles as domain
 from sluice.plans.health import MAX_REJECT_RATE, RawTables, Result, run_health
 from sluice.sinks.files import FORMAT_OPTIONS, WRITE_MODES
 from sluice.sources.archives import check_archives, list_members, read_archived_csv
-from sluice.sources.files import input_path, join_path, read_raw_csv
+from sluice.sources.files import input_path, join_path, read_raw_csv, stored_bytes
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -59,12 +60,17 @@ def open_inputs(spark: SparkSession, path: str, sep: str, business_date: str) ->
             name: read_archived_csv(spark, members, s.file_name, s.columns, sep)
             for name, s in specs.items()
         }
-        return RawTables(**frames, order_by=dict.fromkeys(specs, ("source_zip", "line_no")))
+        return RawTables(
+            **frames,
+            order_by=dict.fromkeys(specs, ("source_zip", "line_no")),
+            input_bytes=members.agg(F.sum("bytes")).first()[0],
+        )
     frames = {
         name: read_raw_csv(spark, join_path(path, s.file_name), s.columns, s.file_name, sep)
         for name, s in specs.items()
     }
-    return RawTables(**frames)
+    files = [join_path(path, s.file_name) for s in specs.values()]
+    return RawTables(**frames, input_bytes=stored_bytes(spark, files))
 
 
 def main(argv: Sequence[str] | None = None) -> Result:

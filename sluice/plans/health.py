@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.context import Run, configure, scratch_root
+from sluice.context import Run, configure, scratch_root, size_shuffles
 from sluice.domains import vehicles as domain
 from sluice.functions import norm_id, nullify, trim_upper
 from sluice.operators import measures
@@ -43,13 +43,15 @@ MAX_REJECT_RATE = 0.10
 
 @dataclass(frozen=True)
 class RawTables:
-    """The raw text tables of a run, and which columns say what came first."""
+    """The raw text tables of a run, which columns say what came first, and how
+    many bytes they hold, if known."""
 
     telemetry: DataFrame
     service: DataFrame
     vehicles: DataFrame
     dealers: DataFrame
     order_by: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    input_bytes: int = 0
 
     def curated(self, name: str, spec: domain.Dataset, run: Run) -> Curated:
         return curate(getattr(self, name), spec, run, self.order_by.get(name, ()))
@@ -211,6 +213,7 @@ def run_health(
     and the rows of unknown vehicles together.
     """
     configure(spark)
+    size_shuffles(spark, raw.input_bytes)
     folder = join_path(scratch_root(spark), f"sluice-{run.run_id}")
 
     def curated(name: str, spec: domain.Dataset) -> Callable[[], tuple[Curated, dict]]:

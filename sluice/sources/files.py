@@ -22,6 +22,12 @@ def input_path(root: str, business_date: str) -> str:
     return join_path(root, f"vehicle_health_{business_date.replace('-', '_')}.zip")
 
 
+def stored_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """The size of files or folders; they are listed, not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return listed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from sluice.context import Run, resolve_business_date, scratch_root
+from sluice.context import Run, resolve_business_date, scratch_root, size_shuffles
 from sluice.domains import vehicles as domain
 from sluice.plans.sales import validate_config
 from sluice.sinks.files import conform, publish, replace_slice
@@ -31,7 +31,8 @@ from sluice.sources.archives import (
     read_archived_csv,
     read_archives,
 )
-from sluice.sources.files import input_path, join_path, read_raw_csv, read_slice
+from sluice.plans.cli import open_inputs
+from sluice.sources.files import input_path, join_path, read_raw_csv, read_slice, stored_bytes
 from sluice.sources.schema import schema_from_ddl
 
 SPEC = OutputSpec("t", "id bigint, business_date string, part string", ("business_date", "part"))
@@ -271,3 +272,26 @@ def test_sales_config():
         validate_config("db", "/x")
     with pytest.raises(ValueError, match="database"):
         validate_config(" ", "s3a://b/x")
+
+
+def test_shuffles_follow_the_input(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.csv").write_bytes(b"0" * 100)
+    (tmp_path / "y.csv").write_bytes(b"0" * 23)
+    assert stored_bytes(spark, [str(tmp_path / "a"), str(tmp_path / "y.csv")]) == 123
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 123) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 10 * 2**40) == 50_000
+        assert size_shuffles(spark, 2**40) == 8192
+        assert spark.conf.get(setting) == "8192"
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_folder_of_csv_files_as_input(spark, tmp_path):
+    for spec in domain.DATASETS:
+        (tmp_path / spec.file_name).write_text(",".join(spec.columns) + "\n")
+    raw = open_inputs(spark, str(tmp_path), ",", "2026-12-01")
+    assert raw.input_bytes > 0
+    assert raw.telemetry.columns == [*domain.TELEMETRY_COLUMNS, "source_file"]

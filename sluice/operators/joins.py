@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import is_critical, is_warning
@@ -22,16 +24,21 @@ def heavy_keys(
     key: str,
     rows_per_task: int = ROWS_PER_TASK,
     most: int = MOST_HEAVY_KEYS,
+    normalise: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """The keys worth spreading, and into how many parts.
 
     This steers work only: a key that is not listed is joined all the same.
-    The count is combined on the map side and reads one column.
+    The count is combined on the map side and reads one column.  Raw keys are
+    counted as they are and then normalised, so that costs once per distinct
+    text and not once per row.
     """
+    counted = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    if normalise:
+        keyed = counted.select(normalise(F.col(key)).alias(key), "_rows")
+        counted = keyed.groupBy(key).agg(F.sum("_rows").alias("_rows"))
     return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("_rows"))
-        .filter((F.col("_rows") > rows_per_task) & F.col(key).isNotNull())
+        counted.filter((F.col("_rows") > rows_per_task) & F.col(key).isNotNull())
         .orderBy(F.desc("_rows"), key)
         .limit(most)
         .select(key, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("bigint").alias("_parts"))

@@ -69,6 +69,14 @@ def all_rejects(invalid: Mapping[str, DataFrame], unknown: DataFrame, run: Run)
     return union_all([*envelopes, unknown_vehicle_rejects(unknown, run)])
 
 
+def raw_vin(col: Column) -> Column:
+    return norm_id(nullify(col))
+
+
+def raw_dealer(col: Column) -> Column:
+    return trim_upper(nullify(col))
+
+
 @dataclass(frozen=True)
 class Curation:
     """Every intermediate result of the health job as a lazy frame.
@@ -100,16 +108,15 @@ class Curation:
     # the whole table for them would cost more than it saves.
     @cached_property
     def heavy_vins(self) -> DataFrame:
-        return heavy_keys(self.raw.telemetry.select(norm_id(nullify(F.col("vin"))).alias("vin")), "vin")
+        return heavy_keys(self.raw.telemetry, "vin", normalise=raw_vin)
 
     @cached_property
     def heavy_service_vins(self) -> DataFrame:
-        return heavy_keys(self.raw.service.select(norm_id(nullify(F.col("vin"))).alias("vin")), "vin")
+        return heavy_keys(self.raw.service, "vin", normalise=raw_vin)
 
     @cached_property
     def heavy_dealers(self) -> DataFrame:
-        dealer = trim_upper(nullify(F.col("dealer_id"))).alias("dealer_id")
-        return heavy_keys(self.raw.service.select(dealer), "dealer_id")
+        return heavy_keys(self.raw.service, "dealer_id", normalise=raw_dealer)
 
     @cached_property
     def enriched(self) -> DataFrame:

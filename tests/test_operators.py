@@ -204,6 +204,8 @@ def test_heavy_keys_lists_the_largest(skewed):
     left, _ = skewed
     assert rows(heavy_keys(left, "k", rows_per_task=100)) == Counter([("hot", 4)])
     assert heavy_keys(left, "k", rows_per_task=1, most=2).count() == 2
+    mixed = left.withColumn("k", F.when(F.col("id") % 2 == 0, F.upper("k")).otherwise(F.col("k")))
+    assert rows(heavy_keys(mixed, "k", 100, normalise=F.lower)) == Counter([("hot", 4)])
 
 
 def test_spread_cuts_the_hot_key(spark, skewed):

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -78,13 +79,16 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's checkpoint folder.
 
     Only a local session, where every task sees the same disk, may go without
-    the setting; it then gets a new folder.
+    the setting; it then has a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")

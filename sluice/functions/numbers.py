@@ -12,4 +12,4 @@ def to_number(col: Column, type_name: str = "double") -> Column:
     Units and thousands marks vanish.  So do exponent letters and brackets:
     ``1.5e3`` is read as 1.53 and ``(5)`` as 5.
     """
-    return F.regexp_replace(col, "[^0-9.-]", "").try_cast(type_name)
+    return F.regexp_replace(col, "[^0-9.-]+", "").try_cast(type_name)

@@ -28,7 +28,7 @@ def norm_id(col: Column) -> Column:
     The named class is one table look-up per character, several times faster
     than the same set written as ranges.
     """
-    return F.upper(F.regexp_replace(col, r"\P{Alnum}", ""))
+    return F.upper(F.regexp_replace(col, r"\P{Alnum}+", ""))
 
 
 def norm_code(col: Column) -> Column:

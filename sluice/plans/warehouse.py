@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from sluice.domains.vehicles import ANALYTICS_TABLES, OUTPUTS
 from sluice.operators.measures import risk_listing
 from sluice.operators.quality import GateError, count_delta, quality_listing, slice_counts
 from sluice.operators.rules import union_all
+from sluice.plans.health import together
 from sluice.sinks.tables import (
     create_view,
     ensure_table,
@@ -65,21 +67,22 @@ def load_warehouse(
 ) -> Validation:
     """Replace one date in each analytics table and compare the row counts."""
     configure(spark)
-    targets: dict[str, DataFrame] = {}
-    deltas = []
-    for name in ANALYTICS_TABLES:
+
+    def load(name: str) -> tuple[DataFrame, DataFrame]:
         target = analytics_table(spark, analytics_db, name, warehouse_root)
         staging = staging_table(spark, staging_db, name, curated_root, business_date)
         columns = OUTPUTS[name].partitioned("business_date").data_schema.names
         load_slice(spark, spark.table(staging), target, columns, business_date)
-        targets[name] = spark.table(target)
-        loaded = targets[name].filter(F.col("business_date") == business_date)
-        deltas.append(count_delta(spark.table(staging), loaded, name))
+        loaded = spark.table(target).filter(F.col("business_date") == business_date)
+        return spark.table(target), count_delta(spark.table(staging), loaded, name)
+
+    done = together(*[partial(load, name) for name in ANALYTICS_TABLES])
+    targets = {name: table for name, (table, _) in zip(ANALYTICS_TABLES, done)}
     view = full_name(analytics_db, RISK_VIEW)
     create_view(
         spark, view, risk_view_sql(full_name(analytics_db, "daily_vehicle_health_summary"))
     )
-    all_deltas = union_all(deltas)
+    all_deltas = union_all([delta for _, delta in done])
     if fail_on_delta:
         wrong = all_deltas.filter("row_count_delta <> 0").collect()
         if wrong:

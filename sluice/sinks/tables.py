@@ -85,13 +85,28 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
     spark.sql(f"REFRESH TABLE {table}")
 
 
+def is_outdated(spark: SparkSession, database: str, spec: OutputSpec) -> bool:
+    """Whether a table is registered with other columns than the spec has."""
+    name = full_name(database, spec.name)
+    if not spark.catalog.tableExists(name):
+        return False
+    return dict(spark.table(name).dtypes) != {
+        f.name: f.dataType.simpleString() for f in spec.schema.fields
+    }
+
+
 def register_all(
     spark: SparkSession, root: str, database: str, specs: Iterable[OutputSpec]
 ) -> list[str]:
-    """Tables over all published outputs; may be repeated at any time."""
+    """Tables over all published outputs; may be repeated at any time.
+
+    A table whose columns have changed is registered anew; its files stay.
+    """
     names = []
+    ensure_database(spark, database)
     for spec in specs:
-        name = ensure_table(spark, database, spec, join_path(root, spec.name))
+        outdated = is_outdated(spark, database, spec)
+        name = ensure_table(spark, database, spec, join_path(root, spec.name), recreate=outdated)
         if spec.partition_by:
             recover_partitions(spark, name)
         names.append(name)
@@ -105,13 +120,11 @@ def load_slice(
 
     ``columns`` are the target's data columns in order.
     """
-    rows = source.select(*columns)
-    rows.createOrReplaceTempView("sluice_slice")
     spark.sql(
         f"INSERT OVERWRITE TABLE {target} PARTITION (business_date = {literal(business_date)}) "
-        f"SELECT {', '.join(map(quoted, columns))} FROM sluice_slice"
+        "SELECT * FROM {rows}",
+        rows=source.select(*columns),
     )
-    spark.catalog.dropTempView("sluice_slice")
 
 
 def create_view(spark: SparkSession, view: str, sql: str) -> None:

@@ -123,7 +123,7 @@ def test_identifiers(spark):
 
 def test_codes_titles_flags(spark):
     assert apply(spark, norm_code, ["in  progress", "a\tb", None]) == ["IN_PROGRESS", "A_B", None]
-    assert apply(spark, title_case, ["911 GT3 rs", "cayenne e-hybrid"]) == ["911 Gt3 Rs", "Cayenne E-hybrid"]
+    assert apply(spark, title_case, ["40 GT7 rs", "rider e-hybrid"]) == ["40 Gt7 Rs", "Rider E-hybrid"]
     assert apply(spark, trim_upper, [" d01 "]) == ["D01"]
     flags = apply(spark, to_flag, ["y", "Yes", "TRUE", "1", "no", "x", None])
     assert flags == [True, True, True, True, False, False, None]

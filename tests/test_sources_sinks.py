@@ -2,6 +2,7 @@
 
 import zipfile
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -251,6 +252,9 @@ def test_register_all_can_be_repeated(spark, tmp_path):
     for _ in range(2):
         (name,) = register_all(spark, str(tmp_path), "all_db", [SPEC])
         assert spark.table(name).count() == 1
+    wider = replace(SPEC, ddl=SPEC.ddl + ", extra double")
+    register_all(spark, str(tmp_path), "all_db", [wider])
+    assert rows(spark.table(name).select("id", "extra")) == Counter([(1, None)])
     create_view(spark, full_name("all_db", "v"), f"SELECT count(*) AS n FROM {name}")
     assert spark.table("all_db.v").first().n == 1
 

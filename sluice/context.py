@@ -51,6 +51,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # The size aimed at when partitions are merged, cut, or written as files.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
     # Cleaning a wide table makes a long generated method.  The JVM leaves
     # methods over 8000 bytes uncompiled; above that, Spark shall use its
     # smaller per-expression code instead.

@@ -54,7 +54,8 @@ def open_inputs(spark: SparkSession, path: str, sep: str, business_date: str) ->
     if path.endswith("{date}"):
         path = input_path(path[: -len("{date}")], business_date)
     if path.lower().endswith(".zip"):
-        members = list_members(spark, path)
+        # A few rows per archive, asked for several times.
+        members = list_members(spark, path).persist()
         check_archives(members, [s.file_name for s in specs.values()])
         frames = {
             name: read_archived_csv(spark, members, s.file_name, s.columns, sep)

@@ -3,6 +3,7 @@
 import zipfile
 from collections import Counter
 from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -299,3 +300,18 @@ def test_folder_of_csv_files_as_input(spark, tmp_path):
     raw = open_inputs(spark, str(tmp_path), ",", "2026-12-01")
     assert raw.input_bytes > 0
     assert raw.telemetry.columns == [*domain.TELEMETRY_COLUMNS, "source_file"]
+
+
+def test_only_a_local_session_may_lack_a_shared_folder():
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+        )
+
+    folder = scratch_root(session("local[2]"))
+    assert folder == scratch_root(session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(session("yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(session("local-cluster[2,1,1024]"))

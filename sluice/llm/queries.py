@@ -61,13 +61,13 @@ window w as (partition by norm order by length(text) desc, doc_id)
 
 _LEAKS = r"""
 with d as (
-  select doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') as w from documents
+  select doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from documents
 ), b as (
-  select item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') as w from benchmark
+  select item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from benchmark
 ), ds as (
-  select distinct doc_id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) as s from d
+  select distinct doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) as s from d
 ), bs as (
-  select distinct item_id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) as s from b
+  select distinct item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) as s from b
 ), n as (select item_id, count(*) as item_shingles from bs group by 1)
 select doc_id, item_id, count(*) as matched, any_value(item_shingles) as item_shingles,
   count(*) / any_value(item_shingles) as containment

@@ -116,12 +116,13 @@ _at, _dot = "at|arobase|arroba", "dot|punkt|point|punto"
 SPELLED = re.compile(rf"\b(?:plus\s+)?(?:{_digit})(?:[\s,.-]+(?:{_digit}|{_dot}))*\b", re.I)
 SPELLED_WORD = re.compile(rf"(?P<digit>{_digit})|(?P<dot>{_dot})|(?P<plus>plus)", re.I)
 BRACKETED = re.compile(rf"\s*[\[({{<]\s*(?:(?P<at>{_at}|@)|(?P<dot>{_dot}|\.))\s*[\])}}>]\s*", re.I)
-WORDED = re.compile(
-    rf"(?<=[A-Za-z0-9._%+-])\s+(?:{_at})\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\s+(?:{_dot})\s+[A-Za-z0-9-])", re.I
-)
+_label = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
+#: ``at`` is an ordinary word in several languages and ``point`` too, so they do not go together.
+_worded = rf"(?:at\s+(?={_label}\s+dot\s+[A-Za-z0-9-])|(?:arobase|arroba)\s+(?={_label}\s+(?:{_dot})\s+[A-Za-z0-9-]))"
+WORDED = re.compile(rf"(?<=[A-Za-z0-9._%+-])\s+{_worded}", re.I)
 WORDED_DOT = re.compile(rf"\s+(?:{_dot})\s+", re.I)
 LABELS = re.compile(rf"(?:[A-Za-z0-9.-]|\s+(?:{_dot})\s+(?=[A-Za-z0-9]))+", re.I)
-DISGUISED = re.compile(rf"[\[({{<]\s*(?:{_at}|{_dot}|@|\.)\s*[\])}}>]|\b(?:{_at})\s+[A-Za-z0-9.-]+\s+(?:{_dot})\b", re.I)
+DISGUISED = re.compile(rf"[\[({{<]\s*(?:{_at}|{_dot}|@|\.)\s*[\])}}>]|\s{_worded}", re.I)
 FEW_SPELLED = re.compile(rf"\b(?:{_digit})[\s,.-]+(?:(?:{_dot})[\s,.-]+)?(?:{_digit})\b", re.I)
 
 

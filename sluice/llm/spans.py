@@ -42,7 +42,13 @@ def sentences(text: str) -> list[tuple[int, int]]:
         start = gap.end()
     if start < len(text):
         out.append((start, len(text)))
-    return [(a, b) for a, b in out if not text[a:b].isspace()]
+    trimmed = []
+    for a, b in out:
+        own = text[a:b]
+        a += len(own) - len(own.lstrip())
+        if own := own.strip():
+            trimmed.append((a, a + len(own)))
+    return trimmed
 
 
 def runs(text: str, run: int, least_words: int) -> Iterator[tuple[int, int, bytes]]:

@@ -5,13 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.llm.common import table
 from sluice.llm.decontaminate import contaminated
 from sluice.llm.exact_dedup import exact_dedup
+from sluice.llm.lm_score import score_texts
 from sluice.llm.packing import pack_documents
+from sluice.llm.pii import personal_data
 from sluice.llm.quality import classify
+from sluice.llm.secret_scan import scan
 from sluice.llm.simhash import near_dedup
+from sluice.llm.spans import repeated_spans
+from sluice.llm.url_filter import filter_urls, host_of
+
+
+#: The tables have neither fetch times nor lists.  Times follow from page ids; a third of the hosts
+#: are listed, lifted and half of these listed again, a fifth of the domains and a quarter of the first
+#: path segments are listed once.
+_ENTRIES = """
+with hosts as (
+  select host, min(page_id) as m from seen where host <> '' group by host
+), segments as (select host, segment, min(page_id) as m from seen where host <> '' and segment <> '' group by host, segment)
+select 'hosts' as list_name, 'host' as kind, host as value, 'block' as action, m % 200 as day from hosts where m % 3 = 0
+union all select 'hosts', 'host', host, 'lift', m % 200 + 60 from hosts where m % 3 = 0
+union all select 'hosts', 'host', host, 'block', m % 200 + 120 from hosts where m % 6 = 0
+union all select 'domains', 'domain', substring(host, instr(host, '.') + 1), 'block', m % 300 from hosts where m % 5 = 0
+union all select 'paths', 'prefix', concat(host, '/', segment), 'block', m * 13 % 365 from segments where m % 4 = 0
+"""
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    begin = F.lit("2024-01-01").cast("timestamp_ntz")
+    day, hour = F.col("page_id") * 7919 % 365, F.col("page_id") % 24
+    captures = pages.withColumn("fetched_at", begin + F.make_dt_interval(day.cast("int"), hour.cast("int")))
+    segment = F.regexp_extract("url", "^[a-z]+://[^/?#]*/([^/?#]+)", 1)
+    seen = pages.select("page_id", host_of(F.col("url")).alias("host"), segment.alias("segment"))
+    entries = spark.sql(_ENTRIES.replace("from seen", "from {seen}"), seen=seen)
+    entries = entries.withColumn("effective_at", begin + F.make_dt_interval(F.col("day").cast("int")))
+    shown = "yyyy-MM-dd HH:mm:ss"
+    return filter_urls(spark, captures, entries).select(
+        "page_id",
+        "url",
+        F.date_format("fetched_at", shown).alias("fetched_at"),
+        F.col("verdict").isNotNull().alias("blocked"),
+        "verdict.list_name",
+        "verdict.kind",
+        "verdict.value",
+        F.date_format("verdict.since", shown).alias("since"),
+    )
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +69,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(spark, table(spark, sf_dir, "documents"))
 
@@ -34,6 +81,24 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(spark, table(spark, sf_dir, "documents"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The tables have no labelled findings.  What a quoted assignment to a secret's name holds
+    # is labelled a secret, what is all digits is labelled none, and the rest is left to the forest.
+    before = F.concat_ws(" ", "before")
+    label = F.when(before.rlike(r"(token|secret|password|key)\s*[=:]$") & F.col("word").startswith('"'), 1).when(
+        F.col("candidate").rlike("^[0-9]+$"), 0
+    )
+    return scan(spark, table(spark, sf_dir, "documents"), label)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -42,7 +107,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_exact_dedup, op3_quality, op4_decontaminate, op6_simhash, op7_packing, pipeline)
+    for f in (
+        op1_url_filter, op2_exact_dedup, op3_quality, op4_decontaminate, op5_spans,
+        op6_simhash, op7_packing, op8_pii, op9_lm_score, op10_secrets, pipeline,
+    )
 }
 
 _EQUAL_TEXTS = r"""
@@ -76,4 +144,36 @@ group by doc_id, item_id
 having count(*) * 10 >= any_value(item_shingles) * 8
 """
 
-ORACLE: dict[str, str] = {"op2_exact_dedup": _EQUAL_TEXTS, "op4_decontaminate": _LEAKS}
+_LISTED = r"""
+with seen as (
+  select page_id, rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]*)', 1)), '.') as host,
+    regexp_extract(url, '^[a-z]+://[^/?#]*/([^/?#]+)', 1) as segment
+  from pages
+), entries as (
+""" + _ENTRIES + r"""
+), dated as (
+  select list_name, kind, value, day, max(action = 'block') as block from entries group by all
+), intervals as (
+  select *, lead(day) over (partition by list_name, kind, value order by day) as until from dated
+), captures as (
+  select p.page_id, p.url, s.host, p.page_id * 7919 % 365 * 24 + p.page_id % 24 as hour,
+    s.host || regexp_extract(p.url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) as place
+  from pages p join seen s using (page_id)
+), hits as (
+  select page_id, list_name, kind, value, day from captures c join intervals i
+  on block and hour >= day * 24 and (until is null or hour < until * 24)
+    and (kind = 'host' and host = value
+      or kind = 'domain' and (host = value or ends_with(host, '.' || value))
+      or kind = 'prefix' and (place = value or starts_with(place, value || '/')))
+), best as (
+  select *, row_number() over (partition by page_id order by
+    case kind when 'prefix' then 3 when 'host' then 2 else 1 end desc, length(value) desc, list_name desc) as nth
+  from hits
+)
+select c.page_id, url, strftime(timestamp '2024-01-01' + to_hours(hour), '%Y-%m-%d %H:%M:%S') as fetched_at,
+  nth is not null as blocked, list_name, kind, value,
+  strftime(timestamp '2024-01-01' + to_days(day::int), '%Y-%m-%d %H:%M:%S') as since
+from captures c left join best b on c.page_id = b.page_id and nth = 1
+"""
+
+ORACLE: dict[str, str] = {"op1_url_filter": _LISTED, "op2_exact_dedup": _EQUAL_TEXTS, "op4_decontaminate": _LEAKS}

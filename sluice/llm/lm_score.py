@@ -7,7 +7,7 @@ and the word before only through counts that lie with the word, and the denomina
 count of the earlier word, which lies with that word.  So a document's score is a sum
 over its words, each at home in one shard, and one shuffle brings every batch's different
 bigrams to their words, with the rows in which they occur.  A shard counts, builds its
-trie, looks its bigrams up and gives back sums by row.
+trie, looks its bigrams up and gives back to each batch the sums by row.
 
 Words with many occurrences (a list of bounded length) are dealt by the pair of words
 instead, and their counts are sent along with the list, so no word makes a shard large.
@@ -37,18 +37,20 @@ ADDED = 0.1
 MASS = 4.0
 FOLDS = 10
 #: Occurrences that a shard has, about.
-SHARD_TOKENS = 3 << 20
+SHARD_TOKENS = 2 << 20
 #: Words dealt by pairs, at most.
 HOT_WORDS = 1 << 20
 #: Hashes of the end mark and of what stands before the first word.
 END, START = np.uint64(1), np.uint64(2)
 
 U = np.uint64
-SHARDS = (
-    "shard int, words binary, spread binary, contexts binary, times binary, places binary, "
-    "rows binary, ids array<long>, train binary"
-)
-SUMS = "row long, doc_id long, n_tokens int, n_known int, base double, model double"
+#: What a batch sends to a shard.  A place is a row's number in its batch, with HELD set for held-out
+#: rows.  One row of each batch has only the ids of its rows.
+SHARDS = "batch long, shard int, words binary, spread binary, contexts binary, times binary, places binary, ids array<long>"
+#: What comes back: sums for the places of a batch that occur in the shard.
+SUMS = "batch long, places binary, n_tokens binary, n_known binary, base binary, model binary, ids array<long>"
+SCORES = "doc_id long, n_tokens long, n_known long, base double, model double"
+HELD = np.uint16(1 << 15)
 
 
 def held_out(doc_id: int | None, folds: int = FOLDS) -> bool:
@@ -101,7 +103,7 @@ def _deal(shards: int, hot):
     """For each batch and shard: its words, what stood before them, how often, and in which rows."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 40
+        base = TaskContext.get().partitionId() << 32
         hot_words = hot.value[0]
         for batch in batches:
             ids = batch.column(0)
@@ -124,40 +126,35 @@ def _deal(shards: int, hot):
             w, v = own[word[at]], own[first[at]]
             is_hot = _among(hot_words, own)[0][word[at]]
             shard = (np.where(is_hot, _mix(w, v), _mix(w, 0)) % U(shards)).astype(np.int64)
-            train = np.array([not held_out(i) for i in ids.to_pylist()])
+            mark = np.arange(len(parts)).astype(np.uint16)
+            mark[[held_out(i) for i in ids.to_pylist()]] |= HELD
+            place = mark[place]
             order = np.argsort(shard, kind="stable")
             cuts = np.flatnonzero(np.concatenate(([True], np.diff(shard[order]) != 0, [True])))
-            rows = []
+            home = int(_mix(np.array([base], U), 1)[0] % U(shards))
+            rows = [(base, home, *[b""] * 5, ids.to_pylist())]
             for a, b in zip(cuts[:-1], cuts[1:]):
                 g = order[a:b]
                 # The places of these pairs, which lie in one piece each.
                 n = times[g]
                 starts = np.repeat(at[g] - (np.cumsum(n) - n), n)
                 here = place[starts + np.arange(int(n.sum()))]
-                docs, local = np.unique(here, return_inverse=True)
                 heads = np.flatnonzero(np.concatenate(([True], w[g][1:] != w[g][:-1])))
-                rows.append(
-                    (
-                        int(shard[g[0]]),
-                        w[g][heads].tobytes(),
-                        np.diff(np.concatenate((heads, [len(g)]))).astype(np.int32).tobytes(),
-                        v[g].tobytes(),
-                        n.astype(np.int32).tobytes(),
-                        local.astype(np.uint16).tobytes(),
-                        (docs + base).astype(np.int64).tobytes(),
-                        ids.take(pa.array(docs)).to_pylist(),
-                        train[docs].tobytes(),
-                    )
-                )
-            base += len(parts)
+                spread = np.diff(np.concatenate((heads, [len(g)]))).astype(np.int32)
+                sent = (w[g][heads], spread, v[g], n.astype(np.int32), here)
+                rows.append((base, int(shard[g[0]]), *(x.tobytes() for x in sent), None))
+            base += 1
             columns = [*zip(*rows)]
-            kinds = [pa.int32()] + [pa.binary()] * 6 + [pa.list_(pa.int64()), pa.binary()]
-            names = [field.split()[0] for field in SHARDS.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 5 + [pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_names(SHARDS))
 
     return deal
 
 
+def _names(ddl: str) -> list[str]:
+    return [field.split()[0] for field in ddl.split(", ")]
+
+
 class _Shard:
     """The pairs that came to one shard, and the trie of those from training text."""
 
@@ -165,27 +162,26 @@ class _Shard:
         def joined(name: str, kind) -> np.ndarray:
             return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-        def sizes(name: str, width: int) -> np.ndarray:
-            return np.array([len(x) // width for x in table.column(name).to_pylist()], np.int64)
-
-        self.rows, self.train = joined("rows", np.int64), joined("train", bool)
-        self.ids = [i for own in table.column("ids").to_pylist() for i in own]
-        shift = np.cumsum(sizes("rows", 8)) - sizes("rows", 8)
-        self.place = joined("places", np.uint16).astype(np.int64) + np.repeat(shift, sizes("places", 2))
+        self.batches, self.ids = table.column("batch").to_pylist(), table.column("ids").to_pylist()
+        #: Places of all batches, and where each batch's begin.
+        self.places = joined("places", np.uint16)
+        self.ends = np.cumsum([len(x) // 2 for x in table.column("places").to_pylist()])
         times = joined("times", np.int32).astype(np.int64)
         word = np.repeat(joined("words", U), joined("spread", np.int32))
         context = joined("contexts", U)
-        trained = np.add.reduceat(self.train[self.place].astype(np.int64), np.cumsum(times) - times)
+        in_training = (self.places & HELD) == 0
+        trained = np.add.reduceat(in_training.astype(np.int64), np.cumsum(times) - times) if len(times) else times
         # The same pair comes from many batches.
         order = np.lexsort((context, word))
         w, v = word[order], context[order]
         new = np.concatenate(([True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])))
-        pair = np.empty(len(w), np.int64)
-        pair[order] = np.cumsum(new) - 1
+        new = new[: len(w)]
+        pair = np.empty(len(w), np.int32)
+        pair[order] = (np.cumsum(new) - 1).astype(np.int32)
         self.pair = np.repeat(pair, times)
         self.word, self.context = w[new], v[new]
         together = np.bincount(pair, trained).astype(np.int64)
-        head = np.concatenate(([True], self.word[1:] != self.word[:-1]))
+        head = np.concatenate(([True], self.word[1:] != self.word[:-1]))[: len(self.word)]
         rank = np.cumsum(head) - 1
         different = self.word[head]
         counts = np.bincount(rank, together).astype(np.int64)
@@ -207,37 +203,43 @@ class _Shard:
             np.log10(together[inside] + prior[rank[inside]]),
         ).to_bytes()
 
-    def sums(self, mass: float) -> list[np.ndarray]:
-        """For each row: tokens, known ones, logarithms of counts, logarithms of the model."""
+    def sums(self, mass: float) -> Iterator[tuple]:
+        """A row of SUMS for each batch: tokens, known ones, logarithms of counts and of the model."""
         model = Trie.open(self.levels).find(self.word, self.context, self.unknown)
         # A word is also what the next one is conditioned on; the end mark is not.
         model -= np.where(self.word == END, 0.0, np.log10(self.count + mass))
-        n = len(self.rows)
-        return [
-            np.bincount(self.place, minlength=n),
-            np.bincount(self.place, (self.count > 0)[self.pair], minlength=n),
-            np.bincount(self.place, np.log10(self.count + ADDED)[self.pair], minlength=n),
-            np.bincount(self.place, model[self.pair], minlength=n),
-        ]
+        known, base = self.count > 0, np.log10(self.count + ADDED)
+        for batch, ids, start, end in zip(self.batches, self.ids, [0, *self.ends[:-1]], self.ends):
+            pair, row = self.pair[start:end], (self.places[start:end] & ~HELD).astype(np.int64)
+            n = np.bincount(row)
+            at = np.flatnonzero(n)
+            found = (n, *(np.bincount(row, x[pair]) for x in (known, base, model)))
+            kinds = (np.int32, np.int32, np.float64, np.float32)
+            sent = [x[at].astype(k).tobytes() for x, k in zip(found, kinds)]
+            yield batch, at.astype(np.uint16).tobytes(), *sent, ids
 
 
 def _sum(hot, tokens: int, words: int, mass: float):
     def shard_sums(table: pa.Table) -> pa.Table:
-        shard = _Shard(table, hot.value, tokens, words, mass)
-        n, known, base, model = shard.sums(mass)
-        arrays = [
-            pa.array(shard.rows),
-            pa.array(shard.ids, pa.int64()),
-            pa.array(n.astype(np.int32)),
-            pa.array(known.astype(np.int32)),
-            pa.array(base),
-            pa.array(model),
-        ]
-        return pa.table(arrays, names=[field.split()[0] for field in SUMS.split(", ")])
+        rows = _Shard(table, hot.value, tokens, words, mass).sums(mass)
+        kinds = [pa.int64()] + [pa.binary()] * 5 + [pa.list_(pa.int64())]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_names(SUMS))
 
     return shard_sums
 
 
+def _add_up(table: pa.Table) -> pa.Table:
+    """The sums of one batch from all shards, one row for each of its documents."""
+    ids = next(x for x in table.column("ids").to_pylist() if x is not None)
+    place = np.frombuffer(b"".join(table.column("places").to_pylist()), np.uint16)
+    columns = [pa.array(ids, pa.int64())]
+    for name, kind in (("n_tokens", np.int32), ("n_known", np.int32), ("base", np.float64), ("model", np.float32)):
+        values = np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        total = np.bincount(place, values, minlength=len(ids))
+        columns.append(pa.array(total.astype(np.int64) if kind is np.int32 else total))
+    return pa.table(columns, names=_names(SCORES))
+
+
 def _levels(hot, tokens: int, words: int, mass: float):
     def levels(table: pa.Table) -> pa.Table:
         shard = _Shard(table, hot.value, tokens, words, mass)
@@ -279,15 +281,9 @@ def score_texts(
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every row."""
     corpus = _Corpus(spark, docs, id_col, text_col, shard_tokens, hot_words)
     sums = corpus.dealt.applyInArrow(_sum(corpus.hot, corpus.tokens, corpus.words, mass), SUMS)
+    rows = sums.groupBy("batch").applyInArrow(_add_up, SCORES)
     whole = float(np.log10(corpus.tokens + ADDED * (corpus.words + 1)))
     begin = float(np.log10(corpus.documents + mass))
-    rows = sums.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"),
-        F.sum("base").alias("base"),
-        F.sum("model").alias("model"),
-    )
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     return rows.select(
         "doc_id",

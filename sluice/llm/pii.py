@@ -31,6 +31,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # Looking back keeps the search from starting again at each digit of a run; no match can start there.
 IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+DECIMAL = re.compile(r"[0-9]\.[0-9]")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -52,6 +53,8 @@ def emails(text: str) -> Iterator[Span]:
 
 
 def ips(text: str) -> Iterator[Span]:
+    if not DECIMAL.search(text):
+        return
     for m in IP.finditer(text):
         if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in m[0].split(".")):
             yield m.span()
@@ -122,8 +125,8 @@ _worded = rf"(?:at\s+(?={_label}\s+dot\s+[A-Za-z0-9-])|(?:arobase|arroba)\s+(?={
 WORDED = re.compile(rf"(?<=[A-Za-z0-9._%+-])\s+{_worded}", re.I)
 WORDED_DOT = re.compile(rf"\s+(?:{_dot})\s+", re.I)
 LABELS = re.compile(rf"(?:[A-Za-z0-9.-]|\s+(?:{_dot})\s+(?=[A-Za-z0-9]))+", re.I)
-DISGUISED = re.compile(rf"[\[({{<]\s*(?:{_at}|{_dot}|@|\.)\s*[\])}}>]|\s{_worded}", re.I)
-FEW_SPELLED = re.compile(rf"\b(?:{_digit})[\s,.-]+(?:(?:{_dot})[\s,.-]+)?(?:{_digit})\b", re.I)
+#: Words that can be part of a run of spelled digits, with the marks that may follow them.
+SPELLING = frozenset(w + mark for w in (*DIGIT_WORDS, *_dot.split("|")) for mark in ("", ",", "."))
 
 
 @cache
@@ -144,7 +147,28 @@ def glyphs() -> dict[int, str | None]:
 
 @cache
 def _glyph_hint() -> re.Pattern:
-    return re.compile("[" + "".join(map(re.escape, map(chr, sorted(glyphs())))) + "]")
+    """Glyphs of the first plane, and all of the others, where single characters would make the search slow."""
+    own = [chr(point) for point in sorted(glyphs()) if point < 0x10000]
+    return re.compile("[" + "".join(map(re.escape, own)) + "\U00010000-\U0010ffff]")
+
+
+def _has_glyphs(text: str) -> bool:
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return bool(_glyph_hint().search(text))
+    return "\xad" in text
+
+
+def _spells(lower: str) -> bool:
+    """Whether enough words in a row can be spelled digits."""
+    return b"\1" * LEAST_SPELLED in bytes(map(SPELLING.__contains__, lower.replace("-", " ").split()))
+
+
+def _disguises(lower: str) -> bool:
+    return any(c in lower for c in "[({<") or " dot" in lower or "arobase" in lower or "arroba" in lower
 
 
 class Mapped:
@@ -176,7 +200,8 @@ class Mapped:
 
 def unglyph(m: Mapped) -> None:
     table = glyphs()
-    m.rewrite([(f.start(), f.end(), table[ord(f[0])] or "") for f in _glyph_hint().finditer(m.text)])
+    found = ((f.start(), ord(f[0])) for f in _glyph_hint().finditer(m.text))
+    m.rewrite([(at, at + 1, table[point] or "") for at, point in found if point in table])
 
 
 def unspell(m: Mapped) -> None:
@@ -214,11 +239,11 @@ def undisguise(m: Mapped) -> None:
 def disguised(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """What is found only in the rewritten text, at its place in the source."""
     m = Mapped(text)
-    if not text.isascii() and _glyph_hint().search(text):
+    if _has_glyphs(text):
         unglyph(m)
-    if FEW_SPELLED.search(m.text):
+    if _spells(m.text.lower()):
         unspell(m)
-    if DISGUISED.search(m.text):
+    if _disguises(m.text.lower()):
         undisguise(m)
     if m.text is text:
         return []

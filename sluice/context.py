@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def resolve_business_date(text: str | None = None) -> str:
@@ -51,6 +53,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # A join is cut at a heavy key also where the next step has to shuffle again for it.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     # The size aimed at when partitions are merged, cut, or written as files.
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
@@ -62,20 +66,36 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 PARTITION_BYTES = 128 * 1024 * 1024
-MOST_PARTITIONS = 50_000
+#: An estimate from here on means that Spark knows nothing of the size.
+UNKNOWN_BYTES = 1 << 62
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Start shuffles with partitions of about PARTITION_BYTES; give their number.
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's estimate of a frame's size; 0 if it has none."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return estimate if estimate < UNKNOWN_BYTES else 0
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Start shuffles with partitions of about PARTITION_BYTES, and set the session back after.
 
     Spark merges partitions that turn out small, but does not cut ones that
-    turn out large, so the number follows the input.  It never goes below the
-    session's own setting.
+    turn out large, so the number follows the input, however large.  It never
+    goes below the session's own setting.
     """
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(own, min(MOST_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
+    wanted = max(own, -(-input_bytes // PARTITION_BYTES))
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def scratch_root(spark: SparkSession) -> str:

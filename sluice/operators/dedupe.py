@@ -16,8 +16,9 @@ def dedupe(
 ) -> DataFrame:
     """Keep the first row per key; NULL keys are equal to each other.
 
-    First means smallest in ``order_by`` and then in the remaining columns, so
-    rows that tie are identical.  It is an aggregate, not a window: every map
+    First means smallest in ``order_by`` and then in the remaining columns,
+    where a value comes before NULL, so a complete copy beats one that lacks
+    something and rows that tie are identical.  It is an aggregate, not a window: every map
     task sends on at most one row per key, so a key that holds a large share
     of the input does not load one reducer, and the number of ``copies`` comes
     with it for free.
@@ -27,7 +28,8 @@ def dedupe(
     counts = [F.count("*").alias(copies)] if copies else []
     if not ordered and not rest:
         return df.groupBy(*keys).agg(F.count("*").alias(copies)) if copies else df.distinct()
-    first = F.min(F.struct(*ordered, *rest)).alias("_first")
+    ranked = [c for i, name in enumerate(rest) for c in (F.col(name).isNull().alias(f"_no_{i}"), F.col(name))]
+    first = F.min(F.struct(*ordered, *ranked)).alias("_first")
     kept = df.groupBy(*keys).agg(first, *counts)
     columns = [F.col(c) if c in keys else F.col(f"_first.`{c}`") for c in df.columns]
     return kept.select(*columns, *([copies] if copies else []))

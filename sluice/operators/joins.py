@@ -2,97 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import is_critical, is_warning
 from sluice.operators.dedupe import latest_by
 
-# A key with more rows than this is spread over several tasks.
-ROWS_PER_TASK = 4_000_000
-# Most keys that get spread: at this length the list is a few megabytes, and
-# any key beyond it holds less than a hundred-thousandth of all rows.
-MOST_HEAVY_KEYS = 100_000
 # Reference data measured to be at most this large may be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def heavy_keys(
-    df: DataFrame,
-    key: str,
-    rows_per_task: int = ROWS_PER_TASK,
-    most: int = MOST_HEAVY_KEYS,
-    normalise: Callable[[Column], Column] | None = None,
-) -> DataFrame:
-    """The keys worth spreading, and into how many parts.
-
-    This steers work only: a key that is not listed is joined all the same.
-    The count is combined on the map side and reads one column.  Raw keys are
-    counted as they are and then normalised, so that costs once per distinct
-    text and not once per row.
-    """
-    counted = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    if normalise:
-        keyed = counted.select(normalise(F.col(key)).alias(key), "_rows")
-        counted = keyed.groupBy(key).agg(F.sum("_rows").alias("_rows"))
-    return (
-        counted.filter((F.col("_rows") > rows_per_task) & F.col(key).isNotNull())
-        .orderBy(F.desc("_rows"), key)
-        .limit(most)
-        .select(key, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("bigint").alias("_parts"))
-    )
-
-
-def lookup(
-    left: DataFrame,
-    ref: DataFrame,
-    key: str,
-    how: str = "left",
-    heavy: DataFrame | None = None,
-    small: bool = False,
-) -> DataFrame:
+def lookup(left: DataFrame, ref: DataFrame, key: str, how: str = "left", small: bool = False) -> DataFrame:
     """Join rows to a reference table with one row per key.
 
     ``small`` says the reference was measured to be below BROADCAST_BYTES.
-    Otherwise both sides are shuffled, and with ``heavy`` each heavy key is
-    cut into parts: a row goes to one part by a hash of its other columns, the
-    reference row is repeated once per part.  Rows without a key match nothing
-    and are scattered freely.  Floating-point columns stay out of the hash: a
-    sum recomputed after a lost executor may differ in its last bit, and the
-    row must go to the same part again.
+    Otherwise both sides are shuffled, and adaptive execution cuts the
+    partition of a heavy key into several tasks (see ``configure``).
     """
-    if small:
-        return left.join(F.broadcast(ref), key, how)
-    if heavy is None:
-        return left.join(ref, key, how)
-
-    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
-    stable = [c for c, kind in left.dtypes if c != key and kind not in ("double", "float")]
-    scatter = F.xxhash64(*stable) if stable else F.lit(0).cast("bigint")
-    spread = (
-        left.join(F.broadcast(heavy), key, "left")
-        .withColumn("_part", F.when(F.col(key).isNull(), scatter).otherwise(F.pmod(scatter, parts)))
-        .drop("_parts")
-    )
-    repeated = (
-        ref.join(F.broadcast(heavy), key, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
-        .drop("_parts")
-    )
-    return spread.join(repeated, [key, "_part"], how).drop("_part")
+    return left.join(F.broadcast(ref) if small else ref, key, how)
 
 
 def unknown_refs(
     df: DataFrame,
     ref: DataFrame,
     key: str,
-    heavy: DataFrame | None = None,
     small: bool = False,
 ) -> DataFrame:
     """Rows whose key is absent from the reference; rows without a key are too."""
-    return lookup(df, ref.select(key), key, "left_anti", heavy, small)
+    return lookup(df, ref.select(key), key, "left_anti", small)
 
 
 # What enrichment takes from each reference table.
@@ -130,7 +67,6 @@ def vehicle_profile(
     service: DataFrame,
     vehicles: DataFrame,
     dealers: DataFrame,
-    heavy_dealers: DataFrame | None = None,
     small_dealers: bool = False,
 ) -> DataFrame:
     """One row per known vehicle: master data, latest service and its dealer.
@@ -143,7 +79,6 @@ def vehicle_profile(
         dealers.select(*DEALER_COLUMNS),
         "dealer_id",
         "left",
-        heavy_dealers,
         small_dealers,
     )
     return vehicles.select(*VEHICLE_COLUMNS).join(serviced, "vin", "left")
@@ -153,11 +88,10 @@ def attach_profile(
     telemetry: DataFrame,
     profile: DataFrame,
     how: str = "inner",
-    heavy: DataFrame | None = None,
     small: bool = False,
 ) -> DataFrame:
     """Events with the profile of their vehicle and the severity flags."""
-    return lookup(telemetry, profile, "vin", how, heavy, small).withColumns(
+    return lookup(telemetry, profile, "vin", how, small).withColumns(
         {
             "is_critical_event": is_critical(F.col("severity")),
             "is_warning_event": is_warning(F.col("severity")),
@@ -170,9 +104,7 @@ def enrich(
     service: DataFrame,
     vehicles: DataFrame,
     dealers: DataFrame,
-    heavy_vins: DataFrame | None = None,
-    heavy_dealers: DataFrame | None = None,
 ) -> DataFrame:
     """Events of known vehicles with master data, latest service and dealer."""
-    profile = vehicle_profile(service, vehicles, dealers, heavy_dealers)
-    return attach_profile(telemetry, profile, "inner", heavy_vins)
+    profile = vehicle_profile(service, vehicles, dealers)
+    return attach_profile(telemetry, profile, "inner")

@@ -99,7 +99,6 @@ def service_kpis(
     service: DataFrame,
     vehicles: DataFrame,
     dealers: DataFrame,
-    heavy_vins: DataFrame | None = None,
     small_vehicles: bool = False,
     small_dealers: bool = False,
 ) -> DataFrame:
@@ -121,7 +120,6 @@ def service_kpis(
         vehicles.select("vin", "model", "model_year", "powertrain"),
         "vin",
         "left",
-        heavy_vins,
         small_vehicles,
     )
     per_dealer = typed.groupBy(

@@ -10,9 +10,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.context import Run, configure, scratch_root, size_shuffles
+from sluice.context import Run, configure, planned_bytes, scratch_root, sized_shuffles
 from sluice.domains import vehicles as domain
-from sluice.functions import norm_id, nullify, trim_upper
 from sluice.operators import measures
 from sluice.operators.cleaning import COPIES, Curated, curate
 from sluice.operators.dedupe import duplicate_keys
@@ -20,7 +19,6 @@ from sluice.operators.joins import (
     BROADCAST_BYTES,
     attach_profile,
     enrich,
-    heavy_keys,
     unknown_refs,
     vehicle_profile,
 )
@@ -44,7 +42,7 @@ MAX_REJECT_RATE = 0.10
 @dataclass(frozen=True)
 class RawTables:
     """The raw text tables of a run, which columns say what came first, and how
-    many bytes they hold, if known."""
+    many bytes they hold; when that is not given, Spark's own estimate is taken."""
 
     telemetry: DataFrame
     service: DataFrame
@@ -53,6 +51,10 @@ class RawTables:
     order_by: Mapping[str, Sequence[str]] = field(default_factory=dict)
     input_bytes: int = 0
 
+    def bytes(self) -> int:
+        frames = (self.telemetry, self.service, self.vehicles, self.dealers)
+        return self.input_bytes or sum(map(planned_bytes, frames))
+
     def curated(self, name: str, spec: domain.Dataset, run: Run) -> Curated:
         return curate(getattr(self, name), spec, run, self.order_by.get(name, ()))
 
@@ -69,14 +71,6 @@ def all_rejects(invalid: Mapping[str, DataFrame], unknown: DataFrame, run: Run)
     return union_all([*envelopes, unknown_vehicle_rejects(unknown, run)])
 
 
-def raw_vin(col: Column) -> Column:
-    return norm_id(nullify(col))
-
-
-def raw_dealer(col: Column) -> Column:
-    return trim_upper(nullify(col))
-
-
 @dataclass(frozen=True)
 class Curation:
     """Every intermediate result of the health job as a lazy frame.
@@ -104,20 +98,6 @@ class Curation:
     def dealers(self) -> Curated:
         return self.raw.curated("dealers", domain.DEALERS, self.run)
 
-    # Heavy keys come from one raw column: they need not be exact, and cleaning
-    # the whole table for them would cost more than it saves.
-    @cached_property
-    def heavy_vins(self) -> DataFrame:
-        return heavy_keys(self.raw.telemetry, "vin", normalise=raw_vin)
-
-    @cached_property
-    def heavy_service_vins(self) -> DataFrame:
-        return heavy_keys(self.raw.service, "vin", normalise=raw_vin)
-
-    @cached_property
-    def heavy_dealers(self) -> DataFrame:
-        return heavy_keys(self.raw.service, "dealer_id", normalise=raw_dealer)
-
     @cached_property
     def enriched(self) -> DataFrame:
         rows = enrich(
@@ -125,14 +105,12 @@ class Curation:
             self.service.valid,
             self.vehicles.valid,
             self.dealers.valid,
-            self.heavy_vins,
-            self.heavy_dealers,
         )
         return rows.select(*domain.OUTPUTS["vehicle_health_enriched"].schema.names)
 
     @cached_property
     def unknown(self) -> DataFrame:
-        return unknown_refs(self.telemetry.valid, self.vehicles.valid, "vin", self.heavy_vins)
+        return unknown_refs(self.telemetry.valid, self.vehicles.valid, "vin")
 
     @cached_property
     def daily_summary(self) -> DataFrame:
@@ -141,7 +119,7 @@ class Curation:
     @cached_property
     def service_kpis(self) -> DataFrame:
         return measures.service_kpis(
-            self.service.valid, self.vehicles.valid, self.dealers.valid, self.heavy_service_vins
+            self.service.valid, self.vehicles.valid, self.dealers.valid
         )
 
     @cached_property
@@ -220,7 +198,22 @@ def run_health(
     and the rows of unknown vehicles together.
     """
     configure(spark)
-    size_shuffles(spark, raw.input_bytes)
+    with sized_shuffles(spark, raw.bytes()):
+        return _run(spark, raw, output, run, mode, fmt, max_reject_rate, database, publish_failed_report, broadcast_bytes)
+
+
+def _run(
+    spark: SparkSession,
+    raw: RawTables,
+    output: str,
+    run: Run,
+    mode: str,
+    fmt: str,
+    max_reject_rate: float,
+    database: str | None,
+    publish_failed_report: bool,
+    broadcast_bytes: int,
+) -> Result:
     folder = join_path(scratch_root(spark), f"sluice-{run.run_id}")
 
     def curated(name: str, spec: domain.Dataset) -> Callable[[], tuple[Curated, dict]]:
@@ -238,21 +231,14 @@ def run_health(
         service.valid,
         vehicles.valid,
         dealers.valid,
-        None if small_dealers else heavy_keys(service.valid, "dealer_id"),
         small_dealers,
     ).withColumn("_known", F.lit(True))
     profile, in_profile = measured(profile, folder, "profile", bytes=byte_size(profile))
 
     telemetry = raw.curated("telemetry", domain.TELEMETRY, run)
     telemetry_columns = [c for c in telemetry.evaluated.columns if c not in (COPIES, REASON)]
-    if in_profile["bytes"] <= broadcast_bytes:
-        events = attach_profile(telemetry.evaluated, profile, "left", small=True)
-    else:
-        # A large profile is joined by shuffle.  The heavy keys are counted on
-        # the staged rows, which costs one column of them.
-        telemetry, _ = stage_curated(telemetry, folder)
-        heavy = heavy_keys(telemetry.evaluated, "vin")
-        events = attach_profile(telemetry.evaluated, profile, "left", heavy)
+    small_profile = in_profile["bytes"] <= broadcast_bytes
+    events = attach_profile(telemetry.evaluated, profile, "left", small_profile)
     known = is_valid() & F.col("_known").isNotNull()
     unknown = is_valid() & F.col("_known").isNull()
     events, in_events = measured(
@@ -274,7 +260,6 @@ def run_health(
     unknown_events = events.filter(unknown).select(*telemetry_columns)
     enriched = events.filter(known)
 
-    heavy_service = None if small_vehicles else heavy_keys(service.valid, "vin")
     (summary, in_summary), (kpis, in_kpis), duplicates = together(
         lambda: measured(
             measures.daily_summary(enriched),
@@ -288,7 +273,6 @@ def run_health(
                 service.valid,
                 vehicles.valid,
                 dealers.valid,
-                heavy_service,
                 small_vehicles,
                 small_dealers,
             ),

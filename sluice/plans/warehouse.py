@@ -38,12 +38,14 @@ class Validation:
 
 
 def staging_table(spark: SparkSession, database: str, name: str, root: str, business_date: str) -> str:
-    """An external table over one published date, made anew.
+    """An external table over one published date, made anew and named by it.
+
+    A load of another date does not touch it, so the counts of this one stay true.
 
     It lies on the folder of that date, so only that folder is searched for
     partitions, however long the history is.
     """
-    spec = replace(OUTPUTS[name].without("business_date"), name=f"{name}_parquet")
+    spec = replace(OUTPUTS[name].without("business_date"), name=f"{name}_parquet_{business_date.replace('-', '_')}")
     folder = join_path(root, name, f"business_date={business_date}")
     table = ensure_table(spark, database, spec, folder, recreate=True)
     if spec.partition_by:

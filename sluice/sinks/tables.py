@@ -85,14 +85,23 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
     spark.sql(f"REFRESH TABLE {table}")
 
 
-def is_outdated(spark: SparkSession, database: str, spec: OutputSpec) -> bool:
-    """Whether a table is registered with other columns than the spec has."""
+def qualified(spark: SparkSession, location: str) -> str:
+    """A location with its file system, as the catalog keeps it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return files.makeQualified(path).toString()
+
+
+def is_outdated(spark: SparkSession, database: str, spec: OutputSpec, location: str) -> bool:
+    """Whether a table is registered with other columns, layout or folder than the spec has."""
     name = full_name(database, spec.name)
     if not spark.catalog.tableExists(name):
         return False
-    return dict(spark.table(name).dtypes) != {
-        f.name: f.dataType.simpleString() for f in spec.schema.fields
-    }
+    columns = {f.name: f.dataType.simpleString() for f in spec.schema.fields}
+    layout = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    here = described["Location"].rstrip("/") == qualified(spark, location).rstrip("/")
+    return not here or dict(spark.table(name).dtypes) != columns or layout != list(spec.partition_by)
 
 
 def register_all(
@@ -100,13 +109,14 @@ def register_all(
 ) -> list[str]:
     """Tables over all published outputs; may be repeated at any time.
 
-    A table whose columns have changed is registered anew; its files stay.
+    A table whose columns, layout or folder have changed is registered anew; its files stay.
     """
     names = []
     ensure_database(spark, database)
     for spec in specs:
-        outdated = is_outdated(spark, database, spec)
-        name = ensure_table(spark, database, spec, join_path(root, spec.name), recreate=outdated)
+        location = join_path(root, spec.name)
+        outdated = is_outdated(spark, database, spec, location)
+        name = ensure_table(spark, database, spec, location, recreate=outdated)
         if spec.partition_by:
             recover_partitions(spark, name)
         names.append(name)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.sources.schema import text_schema
@@ -31,6 +31,7 @@ def _open_in_task():
 
     def open_archive(path: str):
         import zipfile
+        from urllib.parse import quote
 
         from pyarrow import fs
 
@@ -40,6 +41,8 @@ def _open_in_task():
             scheme = "s3"
         if not rest.startswith("//"):
             rest = "//" + rest
+        # Spark gives the path as it is; here it becomes part of an address.
+        rest = quote(rest, safe="/:@")
         system, inner = fs.FileSystem.from_uri(f"{scheme}:{rest}")
         return zipfile.ZipFile(system.open_input_file(inner))
 
@@ -90,10 +93,12 @@ def archive_problems(members: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def check_archives(members: DataFrame, required: Sequence[str]) -> None:
-    """Raise if any archive is unfit; names the first few."""
-    bad = archive_problems(members, required).orderBy("archive").limit(10).collect()
+    """Raise if any archive is unfit; names the first few and says how many there are."""
+    bad = archive_problems(members, required).withColumn("all", F.count("*").over(Window.partitionBy(F.lit(1))))
+    bad = bad.orderBy("archive").limit(10).collect()
     if bad:
-        raise ArchiveError("; ".join(f"{row.archive} {row.problem}" for row in bad))
+        named = "; ".join(f"{row.archive} {row.problem}" for row in bad)
+        raise ArchiveError(f"{named} ({len(bad)} of {bad[0]['all']} unfit archives)")
 
 
 def read_archives(spark: SparkSession, members: DataFrame, file_name: str) -> DataFrame:

@@ -71,11 +71,7 @@ def test_rerun_replaces_its_date_and_no_other(spark, raw, job):
     assert [r[0] for r in kept.collect()] == ["run-2"]
 
 
-def test_large_reference_tables_take_the_shuffled_path(spark, raw, job, tmp_path, monkeypatch):
-    from sluice.operators import joins
-    from sluice.plans import health
-
-    monkeypatch.setattr(health, "heavy_keys", lambda df, key: joins.heavy_keys(df, key, rows_per_task=5))
+def test_large_reference_tables_take_the_shuffled_path(spark, raw, job, tmp_path):
     run_health(
         spark,
         raw,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sluice.operators import measures
 from sluice.operators.cleaning import nullify_strings
 from sluice.operators.dedupe import dedupe, duplicate_keys, latest_by
-from sluice.operators.joins import heavy_keys, lookup, unknown_refs
+from sluice.operators.joins import lookup, unknown_refs
 from sluice.operators.quality import (
     Check,
     GateError,
@@ -190,29 +190,19 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-@pytest.mark.parametrize("per_task", [7, 100, 10_000])
-def test_spread_lookup_equals_a_plain_join(skewed, how, per_task):
+def test_lookup_of_a_hot_key_equals_a_plain_join(skewed, how):
     left, ref = skewed
-    heavy = heavy_keys(left, "k", rows_per_task=per_task)
     want = left.join(ref, "k", how)
-    assert rows(lookup(left, ref, "k", how, heavy)) == rows(want)
-    assert rows(lookup(left, ref, "k", how, small=True)) == rows(want)
-    assert lookup(left, ref, "k", how, heavy).columns == want.columns
+    for small in (False, True):
+        assert rows(lookup(left, ref, "k", how, small)) == rows(want)
+        assert lookup(left, ref, "k", how, small).columns == want.columns
 
 
-def test_heavy_keys_lists_the_largest(skewed):
-    left, _ = skewed
-    assert rows(heavy_keys(left, "k", rows_per_task=100)) == Counter([("hot", 4)])
-    assert heavy_keys(left, "k", rows_per_task=1, most=2).count() == 2
-    mixed = left.withColumn("k", F.when(F.col("id") % 2 == 0, F.upper("k")).otherwise(F.col("k")))
-    assert rows(heavy_keys(mixed, "k", 100, normalise=F.lower)) == Counter([("hot", 4)])
-
-
-def test_spread_cuts_the_hot_key(spark, skewed):
-    left, ref = skewed
-    heavy = heavy_keys(left, "k", rows_per_task=50)
-    plan = lookup(left, ref, "k", "inner", heavy)._jdf.queryExecution().toString()
-    assert "_part" in plan
+def test_a_complete_copy_beats_one_with_gaps(spark):
+    copies = [("k", None, "x"), ("k", 5.0, "x"), ("k", 7.0, None), ("only", None, None)]
+    df = spark.createDataFrame(copies, "k string, v double, w string")
+    assert rows(dedupe(df, ["k"])) == Counter([("k", 5.0, "x"), ("only", None, None)])
+    assert rows(dedupe(df, ["k"], ["w"])) == Counter([("k", 7.0, None), ("only", None, None)])
 
 
 def test_unknown_refs_include_rows_without_key(skewed):
@@ -220,7 +210,7 @@ def test_unknown_refs_include_rows_without_key(skewed):
     known = {r.k for r in ref.collect()}
     want = Counter(tuple(r) for r in left.collect() if r.k not in known)
     assert rows(unknown_refs(left, ref, "k")) == want
-    assert rows(unknown_refs(left, ref, "k", heavy_keys(left, "k", 20))) == want
+    assert rows(unknown_refs(left, ref, "k", small=True)) == want
 
 
 # --- measures ---------------------------------------------------------------
@@ -320,8 +310,7 @@ def test_service_kpis_equal_a_join_before_the_aggregate(spark):
         F.avg(F.col("warranty_flag").cast("double")),
     )
     assert rows(got) == rows(want)
-    heavy = heavy_keys(service, "vin", 1)
-    assert rows(measures.service_kpis(service, vehicles, dealers, heavy)) == rows(want)
+    assert rows(measures.service_kpis(service, vehicles, dealers, small_vehicles=True)) == rows(want)
 
 
 def test_daily_revenue_counts_orders_once(spark):

@@ -12,7 +12,7 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_query_equals_sql(spark, con, name):
     query = entry_point.queries()[name]
     assert difference(spark, con, SF_DIR, query, entry_point.oracle_sql()[name]) == ""

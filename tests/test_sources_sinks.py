@@ -9,8 +9,16 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from sluice.context import Run, resolve_business_date, scratch_root, size_shuffles
+from sluice.context import (
+    INITIAL_PARTITIONS,
+    Run,
+    planned_bytes,
+    resolve_business_date,
+    scratch_root,
+    sized_shuffles,
+)
 from sluice.domains import vehicles as domain
+from sluice.plans.health import RawTables
 from sluice.plans.sales import validate_config
 from sluice.sinks.files import conform, publish, replace_slice
 from sluice.sinks.tables import (
@@ -284,14 +292,30 @@ def test_shuffles_follow_the_input(spark, tmp_path):
     (tmp_path / "a" / "x.csv").write_bytes(b"0" * 100)
     (tmp_path / "y.csv").write_bytes(b"0" * 23)
     assert stored_bytes(spark, [str(tmp_path / "a"), str(tmp_path / "y.csv")]) == 123
-    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        assert size_shuffles(spark, 123) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert size_shuffles(spark, 10 * 2**40) == 50_000
-        assert size_shuffles(spark, 2**40) == 8192
-        assert spark.conf.get(setting) == "8192"
-    finally:
-        spark.conf.unset(setting)
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for size, wanted in ((123, own), (2**40, 8192), (100 * 2**40, 819_200)):
+        with sized_shuffles(spark, size) as number:
+            assert number == wanted == int(spark.conf.get(INITIAL_PARTITIONS))
+        assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
+def test_sizes_come_from_the_plan_when_none_is_given(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    size = planned_bytes(frame)
+    assert size > 100_000
+    assert RawTables(frame, frame, frame, frame).bytes() == 4 * size
+    assert RawTables(frame, frame, frame, frame, input_bytes=7).bytes() == 7
+
+
+def test_tables_follow_their_folder(spark, tmp_path):
+    spec = OutputSpec("moved", "a bigint, business_date string", ("business_date",))
+    for root, n in (("a", 1), ("b", 2)):
+        spark.range(n).selectExpr("id as a", "'2026-12-01' as business_date").write.partitionBy("business_date").parquet(
+            str(tmp_path / root / "moved")
+        )
+        register_all(spark, str(tmp_path / root), "moving", [spec])
+        assert spark.table("moving.moved").count() == n
+    spark.sql("DROP DATABASE moving CASCADE")
 
 
 def test_folder_of_csv_files_as_input(spark, tmp_path):

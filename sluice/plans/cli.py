@@ -37,10 +37,16 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--publish-failed-report", action="store_true", help="write the report of a failed run"
     )
+    parser.add_argument(
+        "--check-header", action="store_true", help="stop at a header that differs from the declared columns"
+    )
+    parser.add_argument("--keep-staged", action="store_true", help="leave the run's intermediate tables")
     return parser.parse_args(words)
 
 
-def open_inputs(spark: SparkSession, path: str, sep: str, business_date: str) -> RawTables:
+def open_inputs(
+    spark: SparkSession, path: str, sep: str, business_date: str, check_header: bool = False
+) -> RawTables:
     """The four raw tables out of archives or a folder of CSV files.
 
     ``{date}`` at the end of a path stands for the archive of the run's date.
@@ -58,7 +64,7 @@ def open_inputs(spark: SparkSession, path: str, sep: str, business_date: str) ->
         members = list_members(spark, path).persist()
         check_archives(members, [s.file_name for s in specs.values()])
         frames = {
-            name: read_archived_csv(spark, members, s.file_name, s.columns, sep)
+            name: read_archived_csv(spark, members, s.file_name, s.columns, sep, check_header)
             for name, s in specs.items()
         }
         return RawTables(
@@ -67,7 +73,7 @@ def open_inputs(spark: SparkSession, path: str, sep: str, business_date: str) ->
             input_bytes=members.agg(F.sum("bytes")).first()[0],
         )
     frames = {
-        name: read_raw_csv(spark, join_path(path, s.file_name), s.columns, s.file_name, sep)
+        name: read_raw_csv(spark, join_path(path, s.file_name), s.columns, s.file_name, sep, check_header)
         for name, s in specs.items()
     }
     files = [join_path(path, s.file_name) for s in specs.values()]
@@ -79,7 +85,7 @@ def main(argv: Sequence[str] | None = None) -> Result:
     spark = SparkSession.builder.appName("sluice-health").getOrCreate()
     source = args.input.rstrip("/").rsplit("/", 1)[-1]
     run = Run.start(args.business_date, source)
-    raw = open_inputs(spark, args.input, args.csv_delimiter, run.business_date)
+    raw = open_inputs(spark, args.input, args.csv_delimiter, run.business_date, args.check_header)
     result = run_health(
         spark,
         raw,
@@ -90,6 +96,7 @@ def main(argv: Sequence[str] | None = None) -> Result:
         args.max_reject_rate,
         args.database,
         args.publish_failed_report,
+        keep_staged=args.keep_staged,
     )
     for name, value in result.counts.items():
         print(f"{name}: {value}")

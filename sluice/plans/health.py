@@ -32,11 +32,13 @@ from sluice.operators.quality import (
     row_checks,
 )
 from sluice.operators.rules import REASON, is_valid, reject_envelope, union_all
-from sluice.sinks.files import publish, stage
+from sluice.sinks.files import publish, remove_folder, stage
 from sluice.sinks.tables import register_all
 from sluice.sources.files import join_path
 
 MAX_REJECT_RATE = 0.10
+#: Where below the output root the report of a stopped run goes.
+FAILED = "failed"
 
 
 @dataclass(frozen=True)
@@ -190,16 +192,28 @@ def run_health(
     database: str | None = None,
     publish_failed_report: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    keep_staged: bool = False,
 ) -> Result:
     """Curate one date, check it, and publish it; nothing is published if a check fails.
 
+    The report is published last, so a date whose report names the run is whole.  The report of
+    a stopped run goes to a folder of its own.  Staged tables are removed after success.
+
     Each raw table is read once and each shared result is computed once.  The
     events meet their vehicle in one left join, which gives the enriched rows
     and the rows of unknown vehicles together.
     """
     configure(spark)
     with sized_shuffles(spark, raw.bytes()):
-        return _run(spark, raw, output, run, mode, fmt, max_reject_rate, database, publish_failed_report, broadcast_bytes)
+        result = _run(spark, raw, output, run, mode, fmt, max_reject_rate, database, publish_failed_report, broadcast_bytes)
+    if not keep_staged:
+        remove_folder(spark, staging_folder(spark, run))
+    return result
+
+
+def staging_folder(spark: SparkSession, run: Run) -> str:
+    """Where a run keeps the tables that several results share."""
+    return join_path(scratch_root(spark), f"sluice-{run.run_id}")
 
 
 def _run(
@@ -214,7 +228,7 @@ def _run(
     publish_failed_report: bool,
     broadcast_bytes: int,
 ) -> Result:
-    folder = join_path(scratch_root(spark), f"sluice-{run.run_id}")
+    folder = staging_folder(spark, run)
 
     def curated(name: str, spec: domain.Dataset) -> Callable[[], tuple[Curated, dict]]:
         return lambda: stage_curated(raw.curated(name, spec, run), folder)
@@ -320,7 +334,8 @@ def _run(
         enforce(checks)
     except GateError:
         if publish_failed_report:
-            put("data_quality_report", report)()
+            spec = domain.OUTPUTS["data_quality_report"]
+            publish(report, join_path(output, FAILED), spec, run.business_date, "overwrite", fmt)
         raise
 
     rejects = all_rejects(
@@ -338,8 +353,8 @@ def _run(
         put("daily_vehicle_health_summary", summary),
         put("service_kpi_summary", kpis),
         put("rejects", rejects),
-        put("data_quality_report", report),
     )
+    put("data_quality_report", report)()
     if database and fmt == "parquet":
-        register_all(spark, output, database, domain.OUTPUTS.values())
+        register_all(spark, output, database, domain.OUTPUTS.values(), run.business_date)
     return Result(run, output, counts, checks)

@@ -95,3 +95,9 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
 
 def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of staged tables on whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
+from itertools import batched
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,12 @@ from sluice.sources.files import join_path
 from sluice.sources.schema import schema_from_ddl
 
 
+#: Partitions that one statement adds.
+ADD_AT_ONCE = 100
+#: Fixed value: the folder name of a partition without a value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class OutputSpec:
     """A published table: all its columns in write order, and its layout."""
@@ -105,19 +113,27 @@ def is_outdated(spark: SparkSession, database: str, spec: OutputSpec, location:
 
 
 def register_all(
-    spark: SparkSession, root: str, database: str, specs: Iterable[OutputSpec]
+    spark: SparkSession,
+    root: str,
+    database: str,
+    specs: Iterable[OutputSpec],
+    business_date: str | None = None,
 ) -> list[str]:
     """Tables over all published outputs; may be repeated at any time.
 
     A table whose columns, layout or folder have changed is registered anew; its files stay.
+    With a date, only that date's folder of a table that is there is looked through.
     """
     names = []
     ensure_database(spark, database)
     for spec in specs:
         location = join_path(root, spec.name)
         outdated = is_outdated(spark, database, spec, location)
+        known = not outdated and spark.catalog.tableExists(full_name(database, spec.name))
         name = ensure_table(spark, database, spec, location, recreate=outdated)
-        if spec.partition_by:
+        if spec.partition_by and known and business_date:
+            register_partitions(spark, name, location, spec.partition_by, business_date)
+        elif spec.partition_by:
             recover_partitions(spark, name)
         names.append(name)
     return names
@@ -182,8 +198,9 @@ def discovered_partitions(spark: SparkSession, path: str, keys: Sequence[str]) -
     return files.select(folder.alias("partition")).filter("partition <> ''").distinct()
 
 
-def registered_partitions(spark: SparkSession, table: str) -> DataFrame:
-    return spark.sql(f"SHOW PARTITIONS {table}")
+def registered_partitions(spark: SparkSession, table: str, within: str = "") -> DataFrame:
+    """All partitions of a table, or those of one slice, given as ``k = 'v'``."""
+    return spark.sql(f"SHOW PARTITIONS {table}" + (f" PARTITION ({within})" if within else ""))
 
 
 def partition_diff(discovered: DataFrame, registered: DataFrame) -> DataFrame:
@@ -194,3 +211,39 @@ def partition_diff(discovered: DataFrame, registered: DataFrame) -> DataFrame:
         .filter(F.col("found").isNull() | F.col("known").isNull())
         .select("partition", F.when(F.col("found"), "new").otherwise("vanished").alias("state"))
     )
+
+
+def partition_clause(partition: str) -> str:
+    """A partition in the form of its folder as the ``k = 'v'`` of a statement."""
+    pairs = [part.split("=", 1) for part in partition.split("/")]
+    return ", ".join(
+        f"{quoted(unquote(key))} = {'NULL' if value == NULL_PARTITION else literal(unquote(value))}"
+        for key, value in pairs
+    )
+
+
+def register_partitions(
+    spark: SparkSession, table: str, path: str, keys: Sequence[str], slice_value: str | None = None
+) -> int:
+    """Register the partitions that have files and are not in the catalog; gives their number.
+
+    With a value of the first key only that slice's folder is listed and
+    compared.  The driver holds one statement's worth of names at a time.
+    """
+    if slice_value is None:
+        found, known = discovered_partitions(spark, path, keys), registered_partitions(spark, table)
+    else:
+        slice_name = f"{keys[0]}={slice_value}"
+        found = discovered_partitions(spark, join_path(path, slice_name), keys)
+        known = registered_partitions(spark, table, partition_clause(slice_name))
+    new = partition_diff(found, known).filter("state = 'new'").select("partition")
+    added = 0
+    for batch in batched(new.toLocalIterator(), ADD_AT_ONCE):
+        clauses = [
+            f"PARTITION ({partition_clause(row.partition)}) LOCATION {literal(join_path(path, row.partition))}"
+            for row in batch
+        ]
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(clauses)}")
+        added += len(clauses)
+    spark.sql(f"REFRESH TABLE {table}")
+    return added

@@ -101,15 +101,24 @@ def check_archives(members: DataFrame, required: Sequence[str]) -> None:
         raise ArchiveError(f"{named} ({len(bad)} of {bad[0]['all']} unfit archives)")
 
 
-def read_archives(spark: SparkSession, members: DataFrame, file_name: str) -> DataFrame:
+def read_archives(
+    spark: SparkSession,
+    members: DataFrame,
+    file_name: str,
+    header: Sequence[str] | None = None,
+    sep: str = ",",
+) -> DataFrame:
     """The lines of one file in all archives, numbered, without its header.
 
-    Blank lines do not count.  A wrong checksum fails the task.
+    Blank lines do not count.  A wrong checksum fails the task, and so does a header with other
+    names than ``header``, if that is given.
     """
+    wanted_header = None if header is None else [name.lower() for name in header]
     open_archive = _open_in_task()
     batch_lines = BATCH_LINES
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
         import io
 
         import pandas as pd
@@ -129,7 +138,9 @@ def read_archives(spark: SparkSession, members: DataFrame, file_name: str) -> Da
                 with open_archive(row.archive) as archive, archive.open(row.member) as stream:
                     text = io.TextIOWrapper(stream, encoding="utf-8", errors="replace")
                     filled = (line.rstrip("\n") for line in text if line.strip())
-                    next(filled, None)
+                    found = next(csv.reader([next(filled, "")], delimiter=sep), [])
+                    if wanted_header is not None and [n.strip().lower() for n in found] != wanted_header:
+                        raise ValueError(f"header of {row.member} in {row.archive} is {found}")
                     number, texts = 1, []
                     for line in filled:
                         texts.append(line)
@@ -140,12 +151,10 @@ def read_archives(spark: SparkSession, members: DataFrame, file_name: str) -> Da
                         yield batch_of(row.archive, row.source_zip, number, texts)
 
     wanted = members.filter(F.lower("file_name") == file_name.lower())
-    # One member per task: a given number of partitions is not merged again.
-    tasks = max(1, wanted.count())
-    numbered = wanted.select("archive", "source_zip", "member").repartition(tasks, "archive")
-    # Spread the lines again, by their own address, so that a retry sends each
-    # one to the same place.
-    return numbered.mapInPandas(lines, LINE_SCHEMA).repartition("archive", "line_no")
+    # The tasks are those of the listing, which Spark filled by the bytes of the archives: a large
+    # archive has a task of its own.  The lines are then spread by their own address, so that a
+    # retry sends each one to the same place.
+    return wanted.select("archive", "source_zip", "member").mapInPandas(lines, LINE_SCHEMA).repartition("archive", "line_no")
 
 
 def read_archived_csv(
@@ -154,11 +163,15 @@ def read_archived_csv(
     file_name: str,
     columns: Sequence[str],
     sep: str = ",",
+    check_header: bool = False,
 ) -> DataFrame:
-    """One file of all archives as text columns, plus where each row came from."""
+    """One file of all archives as text columns, plus where each row came from.
+
+    Columns are bound by position; ``check_header`` makes other names in a header an error.
+    """
     schema = text_schema(columns)
     options = {"sep": sep, "mode": "PERMISSIVE"}
-    lines = read_archives(spark, members, file_name)
+    lines = read_archives(spark, members, file_name, columns if check_header else None, sep)
     row = F.from_csv(F.col("line"), schema.simpleString()[len("struct<") : -1].replace(":", " "), options)
     return lines.select(
         row.alias("row"),

@@ -3,6 +3,7 @@
 import zipfile
 from collections import Counter
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from conftest import SF_DIR
@@ -10,7 +11,7 @@ from conftest import SF_DIR
 from sluice.domains import vehicles as domain
 from sluice.operators.quality import GateError
 from sluice.plans import cli
-from sluice.plans.health import run_health
+from sluice.plans.health import FAILED, run_health, staging_folder
 from sluice.plans.warehouse import load_warehouse
 from sluice.sources.files import read_slice
 from verification import queries as q
@@ -91,11 +92,33 @@ def test_too_many_rejects_publish_nothing(spark, raw, tmp_path):
     run = replace(q.RUN, run_id="run-5")
     with pytest.raises(GateError, match="reject_rate_threshold_exceeded"):
         run_health(spark, raw, str(tmp_path), run, publish_failed_report=True)
-    assert [p.name for p in tmp_path.iterdir()] == ["data_quality_report"]
-    report = published(spark, str(tmp_path), "data_quality_report")
+    assert [p.name for p in tmp_path.iterdir()] == [FAILED]
+    report = published(spark, str(tmp_path / FAILED), "data_quality_report")
     assert report.filter("status = 'FAILED'").count() == 1
 
 
+def test_a_stopped_run_leaves_the_report_of_the_last_good_one(spark, raw, tmp_path):
+    few = replace(raw, **{n: getattr(raw, n).limit(200) for n in ("telemetry", "service")})
+    run_health(spark, few, str(tmp_path), replace(q.RUN, run_id="run-8"), max_reject_rate=1.0)
+    with pytest.raises(GateError):
+        run_health(
+            spark, few, str(tmp_path), replace(q.RUN, run_id="run-9"), max_reject_rate=0.0, publish_failed_report=True
+        )
+    for root, want in ((tmp_path, "run-8"), (tmp_path / FAILED, "run-9")):
+        report = published(spark, str(root), "data_quality_report")
+        assert {r.pipeline_run_id for r in report.collect()} == {want}
+
+
+def test_staged_tables_go_after_success_unless_kept(spark, raw, tmp_path):
+    empty = replace(
+        raw, **{n: getattr(raw, n).filter("1 = 0") for n in ("telemetry", "service", "vehicles", "dealers")}
+    )
+    for run_id, keep in (("run-10", False), ("run-11", True)):
+        run = replace(q.RUN, run_id=run_id)
+        run_health(spark, empty, str(tmp_path / run_id), run, keep_staged=keep)
+        assert Path(staging_folder(spark, run)).exists() == keep
+
+
 def test_empty_inputs(spark, raw, tmp_path):
     empty = replace(
         raw, **{n: getattr(raw, n).filter("1 = 0") for n in ("telemetry", "service", "vehicles", "dealers")}
@@ -104,12 +127,16 @@ def test_empty_inputs(spark, raw, tmp_path):
     assert set(result.counts.values()) == {0}
 
 
-def test_warehouse(spark, job, tmp_path):
+def test_warehouse(spark, raw, job, tmp_path):
     for _ in range(2):
         v = load_warehouse(
             spark, job.output, str(tmp_path), q.BUSINESS_DATE, "stage_db", "mart_db", fail_on_delta=True
         )
     assert all(r.row_count_delta == 0 and r.target_row_count > 0 for r in v.deltas.collect())
+    before = rows(v.deltas)
+    other = run_health(spark, raw, job.output, replace(q.RUN, business_date="2026-11-29", run_id="run-12"), max_reject_rate=0.5)
+    load_warehouse(spark, other.output, str(tmp_path), "2026-11-29", "stage_db", "mart_db")
+    assert rows(v.deltas) == before
     assert rows(v.slice_counts.select("table_name", "row_count")) == rows(
         v.deltas.select("table_name", "target_row_count")
     )

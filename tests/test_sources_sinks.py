@@ -31,6 +31,7 @@ from sluice.sinks.tables import (
     partition_diff,
     recover_partitions,
     register_all,
+    register_partitions,
     registered_partitions,
 )
 from sluice.sources.archives import (
@@ -128,6 +129,30 @@ def test_archive_lines_are_numbered_across_batches(spark, tmp_path):
     assert (got.count(), same.count()) == (45_001, 45_001)
 
 
+def test_archives_are_dealt_by_size_and_read_by_any_name(spark, tmp_path):
+    folder = tmp_path / "with space %41"
+    folder.mkdir()
+    for i in range(16):
+        with zipfile.ZipFile(folder / f"a {i}.zip", "w", zipfile.ZIP_STORED) as archive:
+            archive.writestr("x.csv", "h\n" + f"{i}\n" * 1_000_000)
+    members = list_members(spark, str(tmp_path / "with space*" / "*.zip"))
+    tasks = members.select(F.spark_partition_id().alias("task")).groupBy("task").count()
+    sizes = [row["count"] for row in tasks.collect()]
+    assert sum(sizes) == 16 and max(sizes) <= 4
+    got = read_archives(spark, members, "x.csv").groupBy("source_zip").count()
+    assert rows(got) == Counter((f"a {i}.zip", 1_000_000) for i in range(16))
+
+
+def test_archive_header_check(spark, tmp_path):
+    make_zip(tmp_path / "fine.zip", [("x.csv", '"A", b\n1,2\n')])
+    make_zip(tmp_path / "swapped.zip", [("y.csv", "b,a\n1,2\n")])
+    members = list_members(spark, str(tmp_path / "*.zip"))
+    assert read_archived_csv(spark, members, "x.csv", ["a", "b"], check_header=True).first()[:2] == ("1", "2")
+    assert read_archived_csv(spark, members, "y.csv", ["a", "b"]).first()[:2] == ("1", "2")
+    with pytest.raises(Exception, match="header of y.csv"):
+        read_archived_csv(spark, members, "y.csv", ["a", "b"], check_header=True).collect()
+
+
 def test_archive_problems(spark, tmp_path):
     make_zip(tmp_path / "empty.zip", [("a.txt", "x")])
     make_zip(tmp_path / "twice.zip", [("a/x.csv", "h"), ("b/X.csv", "h"), ("y.csv", "h")])
@@ -255,6 +280,21 @@ def test_partition_diff_both_ways(spark, tmp_path):
     )
 
 
+def test_found_partitions_are_registered(spark, tmp_path):
+    one, two = "2026-06-24", "2026-06-25"
+    publish(frame(spark, [(1, "a:b'c"), (2, None)], one), str(tmp_path), SPEC, one)
+    table = ensure_table(spark, "found_db", SPEC, str(tmp_path / "t"))
+    assert register_partitions(spark, table, str(tmp_path / "t"), SPEC.partition_by) == 2
+    assert rows(spark.table(table)) == Counter([(1, one, "a:b'c"), (2, one, None)])
+    publish(frame(spark, [(3, f"p{i}") for i in range(250)], two), str(tmp_path), SPEC, two)
+    publish(frame(spark, [(4, "late")], one), str(tmp_path), SPEC, one, "append")
+    # Only the date that is asked for is looked through.
+    assert register_partitions(spark, table, str(tmp_path / "t"), SPEC.partition_by, two) == 250
+    assert spark.table(table).count() == 252
+    assert register_partitions(spark, table, str(tmp_path / "t"), SPEC.partition_by) == 1
+    assert register_partitions(spark, table, str(tmp_path / "t"), SPEC.partition_by) == 0
+
+
 def test_register_all_can_be_repeated(spark, tmp_path):
     day = "2026-06-25"
     publish(frame(spark, [(1, "a")], day), str(tmp_path), SPEC, day)

@@ -167,6 +167,8 @@ TYPED_DEALER = f"""
       upper({txt('dealer_tier')}) as dealer_tier, 'dealer_master.csv' as source_file
     from raw_dealer"""
 
+# No order is given: a value comes before none, column by column.
+COMPLETE_FIRST = ", ".join(f"{c} is null, {c}" for c in (*SENSORS, "severity", "country"))
 DIMENSIONS = (
     "business_date, event_date, country, customer_region, model, model_year, powertrain, severity"
 )
@@ -183,6 +185,9 @@ STEPS: dict[str, str] = {
     "ev_telemetry": evaluated(
         TYPED_TELEMETRY, "vin, event_timestamp, dtc_code", "event_id, copy_no", TELEMETRY_REASONS
     ),
+    "ev_unordered": evaluated(
+        TYPED_TELEMETRY, "vin, event_timestamp, dtc_code", COMPLETE_FIRST, TELEMETRY_REASONS
+    ),
     "ev_service": evaluated(TYPED_SERVICE, "service_id", "o_orderkey, copy_no", SERVICE_REASONS),
     "ev_vehicle": evaluated(TYPED_VEHICLE, "vin", "c_custkey", VEHICLE_REASONS),
     "ev_dealer": evaluated(TYPED_DEALER, "dealer_id", "s_suppkey", DEALER_REASONS),
@@ -248,6 +253,7 @@ STEPS: dict[str, str] = {
 NEEDS: dict[str, tuple[str, ...]] = {
     **{name: () for name in RAW_VIEWS},
     "ev_telemetry": ("raw_telemetry",),
+    "ev_unordered": ("raw_telemetry",),
     "ev_service": ("raw_service",),
     "ev_vehicle": ("raw_vehicle",),
     "ev_dealer": ("raw_dealer",),
@@ -540,6 +546,9 @@ def oracle() -> dict[str, str]:
             f"select {TELEMETRY_OUT}, copies from ev_telemetry", "ev_telemetry"
         ),
         "dedupe_service": statement(f"select {SERVICE_OUT}, copies from ev_service", "ev_service"),
+        "dedupe_unordered": statement(
+            f"select {TELEMETRY_OUT}, copies from ev_unordered", "ev_unordered"
+        ),
         "clean_telemetry": clean_select("telemetry", TELEMETRY_OUT),
         "clean_service": clean_select("service", SERVICE_OUT),
         "clean_vehicle": clean_select("vehicle", VEHICLE_OUT),
@@ -616,6 +625,19 @@ def oracle() -> dict[str, str]:
             "'new' as state from summary",
             "summary",
         ),
+        "register_partitions": statement(
+            f"select * replace ('{EARLIER_DATE}' as business_date) from summary union all "
+            "select * from summary",
+            "summary",
+        ),
+        "register_moved_root": statement(
+            "select * from summary where severity in ('HIGH', 'CRITICAL')", "summary"
+        ),
+        "write_modes": statement(
+            "select *, 'append' as written_as from kpis union all "
+            "select *, 'append' from kpis union all select *, 'csv' from kpis",
+            "kpis",
+        ),
         "view_risk_story": statement("select * from story", "story"),
         "view_daily_revenue": statement("select * from revenue", "revenue"),
         "health_job": statement(
@@ -628,5 +650,19 @@ def oracle() -> dict[str, str]:
             "summary",
             "kpis",
         ),
+        "warehouse_counts": statement(
+            table_counts(delta=False) + f" union all select 'data_quality_report', '{BUSINESS_DATE}', 16",
+            "enriched",
+            "summary",
+            "kpis",
+        ),
+        "quality_listing": statement(
+            f"select *, '{BUSINESS_DATE}' as business_date from ({report_rows()}) listed",
+            *ALL_EVALUATED,
+            "unknown",
+            "enriched",
+            "summary",
+            "kpis",
+        ),
         "sales_job": statement("select * from revenue", "revenue"),
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 from functools import cache
 
@@ -33,6 +34,7 @@ from sluice.operators.rules import REASON, reason_counts, reason_list
 from sluice.plans.health import Curation, RawTables, run_health
 from sluice.plans.sales import run_sales
 from sluice.plans.warehouse import (
+    Validation,
     analytics_table,
     load_warehouse,
     staging_table,
@@ -46,6 +48,8 @@ from sluice.sinks.tables import (
     load_slice,
     partition_diff,
     recover_partitions,
+    register_all,
+    register_partitions,
     registered_partitions,
     revenue_view_sql,
     risk_view_sql,
@@ -200,6 +204,14 @@ def deduped(name: str) -> Query:
     return query
 
 
+def dedupe_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry that does not say which copy came first: a value beats none."""
+    raw = raw_tables(spark, sf_dir)
+    raw = replace(raw, telemetry=raw.telemetry.drop(*ORDER_BY["telemetry"]), order_by={})
+    rows = Curation(raw, RUN).telemetry.evaluated
+    return rows.drop(*STAMPS, REASON).withColumnRenamed(COPIES, "copies")
+
+
 def cleaned(name: str) -> Query:
     return lambda spark, sf_dir: getattr(curation(spark, sf_dir), name).valid
 
@@ -443,6 +455,44 @@ def partition_diff_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_diff(found, registered_partitions(spark, table))
 
 
+def register_partitions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dates are published and registered one after the other; the rows come through the table."""
+    root, database = new_folder(spark, "published"), new_database("partitions")
+    summary = curation(spark, sf_dir).daily_summary
+    path = join_path(root, SUMMARY.name)
+    table = ensure_table(spark, database, SUMMARY, path)
+    publish(summary.withColumn("business_date", F.lit(EARLIER_DATE)), root, SUMMARY, EARLIER_DATE)
+    register_partitions(spark, table, path, SUMMARY.partition_by)
+    publish(summary, root, SUMMARY, BUSINESS_DATE)
+    register_partitions(spark, table, path, SUMMARY.partition_by, BUSINESS_DATE)
+    return spark.table(table)
+
+
+def register_moved_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table is registered, then published to another root and registered again."""
+    database = new_database("moved")
+    summary = curation(spark, sf_dir).daily_summary
+    for rows in (summary, summary.filter(F.col("severity").isin("HIGH", "CRITICAL"))):
+        root = new_folder(spark, "published")
+        publish(rows, root, SUMMARY, BUSINESS_DATE)
+        (table,) = register_all(spark, root, database, [SUMMARY])
+    return spark.table(table)
+
+
+def write_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date appended twice and then left alone, and the same date once as CSV."""
+    root, csv_root = new_folder(spark, "modes"), new_folder(spark, "csv")
+    kpis = curation(spark, sf_dir).service_kpis
+    for mode in ("append", "append", "ignore"):
+        publish(kpis, root, KPIS, BUSINESS_DATE, mode)
+    publish(kpis, csv_root, KPIS, BUSINESS_DATE, "errorifexists", "csv")
+    appended = read_slice(spark, root, KPIS.name, KPIS.schema, BUSINESS_DATE)
+    text = spark.read.schema(KPIS.schema).option("header", "true").csv(join_path(csv_root, KPIS.name))
+    return appended.withColumn("written_as", F.lit("append")).unionByName(
+        text.withColumn("written_as", F.lit("csv"))
+    )
+
+
 # --- jobs -------------------------------------------------------------------
 
 
@@ -465,8 +515,9 @@ def health_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("dataset_name", "metric_name", "metric_value", "status")
 
 
-def warehouse_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    validation = load_warehouse(
+def validated(spark: SparkSession, sf_dir: str) -> Validation:
+    """A run of the health job, loaded into the analytics tables."""
+    return load_warehouse(
         spark,
         health_run(spark, sf_dir),
         new_folder(spark, "warehouse"),
@@ -475,11 +526,23 @@ def warehouse_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         new_database("analytics"),
         fail_on_delta=True,
     )
-    return validation.deltas
+
+
+def warehouse_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validated(spark, sf_dir).deltas
+
+
+def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validated(spark, sf_dir).slice_counts
+
+
+def quality_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validated(spark, sf_dir).quality.drop("pipeline_run_id", "reported_at")
 
 
 def sales_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_sales(spark, written_sales(spark, sf_dir), new_database("sales"), prefix="")
+    prefix = join_path(scratch_root(spark), "sales-")
+    return run_sales(spark, written_sales(spark, sf_dir), new_database("sales"), prefix)
 
 
 QUERIES: dict[str, Query] = {
@@ -492,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "flags_and_hours": flags_and_hours,
     "dedupe_telemetry": deduped("telemetry"),
     "dedupe_service": deduped("service"),
+    "dedupe_unordered": dedupe_unordered,
     "clean_telemetry": cleaned("telemetry"),
     "clean_service": cleaned("service"),
     "clean_vehicle": cleaned("vehicles"),
@@ -525,7 +589,12 @@ QUERIES: dict[str, Query] = {
     "view_risk_story": view_risk_story,
     "view_daily_revenue": view_daily_revenue,
     "partition_diff": partition_diff_query,
+    "register_partitions": register_partitions_query,
+    "register_moved_root": register_moved_root,
+    "write_modes": write_modes,
     "health_job": health_job,
     "warehouse_job": warehouse_job,
+    "warehouse_counts": warehouse_counts,
+    "quality_listing": quality_listing,
     "sales_job": sales_job,
 }

@@ -4,8 +4,9 @@ The given tables hold no vehicle data, so each raw table is a view on them:
 dirty text with null markers, units, bad times, short identifiers, copies of
 the same key, vehicles and dealers nobody knows.  The SQL runs unchanged in
 Spark and DuckDB.  Every row of the given tables is used.  Some rows come
-twice, which is what dedupe is about, and some customers have a vehicle that no
-event names, which leaves events of unknown vehicles.
+twice, which is what dedupe is about, one vehicle has a third of the events, and some customers have a vehicle that no
+event names, which leaves events of unknown vehicles.  Vehicles and dealers of services
+grow with the tables; one dealer in six is unknown.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 RAW_TELEMETRY = """
 select event_id, copy_no,
   case when event_id % 50 = 0 then ' n/a '
-       when event_id % 50 = 1 then concat('wp0-zzz ', lpad(cast(user_id as string), 11, '0'))
-       when event_id % 50 = 2 then 'WP0ZZZ12'
-       else concat('WP0ZZZ', lpad(cast(user_id as string), 11, '0')) end as vin,
+       when event_id % 50 = 1 then concat('xx0-zzz ', lpad(cast(user_id as string), 11, '0'))
+       when event_id % 50 = 2 then 'XX0ZZZ12'
+       when event_id % 3 = 1 then concat('XX0ZZZ', lpad('1', 11, '0'))
+       else concat('XX0ZZZ', lpad(cast(user_id as string), 11, '0')) end as vin,
   case when event_id % 61 = 0 then 'not-a-time'
        else cast(date_trunc('second', ts) as string) end as event_timestamp,
   case when event_id % 53 = 0 then '-5'
@@ -51,9 +53,9 @@ select o_orderkey, copy_no,
   case when o_orderkey % 127 = 0 then 'NA'
        else concat('SVC', lpad(cast(o_orderkey as string), 8, '0')) end as service_id,
   case when o_orderkey % 131 = 0 then 'unknown' when o_orderkey % 137 = 0 then 'SHORT'
-       else concat('WP0ZZZ', lpad(cast(o_custkey % 150 as string), 11, '0')) end as vin,
+       else concat('XX0ZZZ', lpad(cast(o_custkey as string), 11, '0')) end as vin,
   case when o_orderkey % 139 = 0 then ' n/a'
-       else concat(' d', lpad(cast(o_orderkey % 120 as string), 4, '0')) end as dealer_id,
+       else concat(' d', lpad(cast(cast(floor(o_orderkey / 125) as int) as string), 9, '0')) end as dealer_id,
   case when o_orderkey % 149 = 0 then 'bad-time'
        else cast(o_orderdate as string) end as service_open_timestamp,
   case when o_orderkey % 3 = 0 then null
@@ -74,9 +76,9 @@ from (select *, 0 as copy_no from {orders}
 
 RAW_VEHICLE = """
 select c_custkey,
-  case when c_custkey % 43 = 0 then 'wp0zzz1' when c_custkey % 47 = 0 then 'n/a'
-       when c_custkey % 10 = 3 then concat('wp1zzz', lpad(cast(c_custkey as string), 11, '0'))
-       else concat('wp0zzz', lpad(cast(c_custkey as string), 11, '0')) end as vin,
+  case when c_custkey % 43 = 0 then 'xx0zzz1' when c_custkey % 47 = 0 then 'n/a'
+       when c_custkey % 10 = 3 then concat('xx1zzz', lpad(cast(c_custkey as string), 11, '0'))
+       else concat('xx0zzz', lpad(cast(c_custkey as string), 11, '0')) end as vin,
   case when c_custkey % 31 = 0 then 'n/a' else lower(c_mktsegment) end as model,
   case when c_custkey % 29 = 0 then '1900' when c_custkey % 37 = 0 then 'NA'
        else cast(2000 + c_custkey % 25 as string) end as model_year,
@@ -91,7 +93,7 @@ from {customer} join {nation} on c_nationkey = n_nationkey join {region} on n_re
 
 RAW_DEALER = """
 select s_suppkey,
-  case when s_suppkey % 17 = 0 then 'na' else concat('d', lpad(cast(s_suppkey as string), 4, '0')) end as dealer_id,
+  case when s_suppkey % 17 = 0 then 'na' else concat('d', lpad(cast(s_suppkey as string), 9, '0')) end as dealer_id,
   case when s_suppkey % 41 = 0 then 'none' else upper(s_name) end as dealer_name,
   case when s_suppkey % 19 = 0 then 'N/A' else lower(n_name) end as country,
   case when s_suppkey % 23 = 0 then 'unknown' else r_name end as region,

@@ -24,10 +24,11 @@ from sluice.llm.common import prepare, staged
 
 WORDS = 5
 CONTAINMENT = 0.8
-#: Rows up to which a side is broadcast; sketches take 24 bytes a row, items some kilobytes.
+#: Up to what a side is broadcast: rows of sketches (24 bytes each), candidate ids (8 bytes
+#: each), bytes of the items' shingles.
 BROADCAST_SKETCHES = 1_000_000
 BROADCAST_PAIRS = 1_000_000
-BROADCAST_ITEMS = 10_000
+BROADCAST_ITEMS = 64 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -72,9 +73,10 @@ def sketches(items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     )
 
 
-def _small(df: DataFrame, most: int) -> DataFrame:
-    """Broadcast a staged table of at most ``most`` rows; a larger one is shuffled."""
-    return F.broadcast(df) if df.count() <= most else df
+def _small(df: DataFrame, most: int, size: Column | None = None) -> DataFrame:
+    """Broadcast a staged table of ``most`` rows, or sizes of rows, at most; a larger one is shuffled."""
+    held = df.agg(F.count("*") if size is None else F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if held <= most else df
 
 
 def contaminated(
@@ -106,9 +108,9 @@ def contaminated(
     some = pairs.groupBy("doc_id").agg(F.collect_set("item_id").alias("item_ids"))
     some = staged(spark, some.withColumnRenamed("doc_id", "some_id"), "candidates")
     chosen = narrow.join(
-        _small(some, BROADCAST_PAIRS), F.col("doc_id").eqNullSafe(F.col("some_id"))
+        _small(some, BROADCAST_PAIRS, F.size("item_ids")), F.col("doc_id").eqNullSafe(F.col("some_id"))
     ).select("doc_id", F.explode("item_ids").alias("item_id"), shingles(F.col("words")).alias("own"))
-    found = chosen.join(_small(whole, BROADCAST_ITEMS), "item_id").select(
+    found = chosen.join(_small(whole, BROADCAST_ITEMS, F.octet_length(F.concat_ws(" ", "item"))), "item_id").select(
         "doc_id",
         "item_id",
         F.size(F.array_intersect("item", "own")).cast("long").alias("matched"),

@@ -65,6 +65,13 @@ def test_ways_without_broadcast_agree(spark, make, prose, monkeypatch):
     assert got(dc.contaminated(spark, make(docs), bench)) == brute(docs, items)
 
 
+def test_broadcast_follows_the_size_of_rows(spark):
+    few = spark.createDataFrame([(1, ["x" * 600]), (2, ["y" * 600])], "item_id long, item array<string>")
+    size = dc.F.octet_length(dc.F.concat_ws(" ", "item"))
+    for df, sent in ((dc._small(few, 2000, size), True), (dc._small(few, 1000, size), False), (dc._small(few, 2), True)):
+        assert ("ResolvedHint" in df._jdf.queryExecution().analyzed().toString()) == sent
+
+
 def test_empty(spark, make):
     bench = spark.createDataFrame([], "item_id long, text string")
     docs = make([(1, "a b c d e f")])

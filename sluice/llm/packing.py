@@ -37,6 +37,8 @@ LEVEL = 16
 TASK_TOKENS = 16 << 20
 #: Words whose ids a worker remembers.
 REMEMBERED = 400_000
+#: Letters of the longest word that is remembered.
+REMEMBERED_LETTERS = 64
 #: Sequences that a range may make without their ids meeting another range's.
 RANGE_SEQUENCES = 1 << 36
 
@@ -114,9 +116,9 @@ class Encoder:
         if len(known) + len(missing) > REMEMBERED:
             known.clear()
             missing = list(set(parts))
-        for part in missing:
-            known[part] = self.pack(self.ids(part))
-        return b"".join([known[part] for part in parts])
+        own = {part: self.pack(self.ids(part)) for part in missing}
+        known.update((part, ids) for part, ids in own.items() if len(part) <= REMEMBERED_LETTERS)
+        return b"".join([own[part] if part in own else known[part] for part in parts])
 
 
 _encoders: dict[str, Encoder] = {}

@@ -64,6 +64,14 @@ def test_encoder_forgets_and_stays_right(documents, tokenizer, monkeypatch):
         assert np.frombuffer(tool.encode(r.text), tool.wide).tolist() == tokenizer.encode(r.text, add_special_tokens=False).ids
 
 
+def test_long_words_are_not_remembered(tokenizer):
+    tool = pk.Encoder(PATH)
+    for text in ("a " + "long" * 5000 + " b " + "x" * 63, "x" * 65, " " + "y" * 64 + " end", ""):
+        for _ in range(2):
+            assert np.frombuffer(tool.encode(text), tool.wide).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert max(map(len, tool.known)) <= pk.REMEMBERED_LETTERS
+
+
 def test_hilbert_curve_visits_every_cell_by_single_steps():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = pk.hilbert(cells, 3)

@@ -125,8 +125,9 @@ _worded = rf"(?:at\s+(?={_label}\s+dot\s+[A-Za-z0-9-])|(?:arobase|arroba)\s+(?={
 WORDED = re.compile(rf"(?<=[A-Za-z0-9._%+-])\s+{_worded}", re.I)
 WORDED_DOT = re.compile(rf"\s+(?:{_dot})\s+", re.I)
 LABELS = re.compile(rf"(?:[A-Za-z0-9.-]|\s+(?:{_dot})\s+(?=[A-Za-z0-9]))+", re.I)
-#: Words that can be part of a run of spelled digits, with the marks that may follow them.
-SPELLING = frozenset(w + mark for w in (*DIGIT_WORDS, *_dot.split("|")) for mark in ("", ",", "."))
+#: Words that can be part of a run of spelled digits.
+SPELLING = frozenset((*DIGIT_WORDS, *_dot.split("|")))
+WORD = re.compile(r"\w+")
 
 
 @cache
@@ -162,13 +163,25 @@ def _has_glyphs(text: str) -> bool:
     return "\xad" in text
 
 
-def _spells(lower: str) -> bool:
-    """Whether enough words in a row can be spelled digits."""
-    return b"\1" * LEAST_SPELLED in bytes(map(SPELLING.__contains__, lower.replace("-", " ").split()))
+def _folded(text: str) -> str:
+    """Lower case, with the letters that patterns without case take for ``s`` and ``i`` as these."""
+    if not text.isascii():
+        text = text.replace("ſ", "s").replace("ı", "i").replace("İ", "i")
+    return text.lower()
 
 
-def _disguises(lower: str) -> bool:
-    return any(c in lower for c in "[({<") or " dot" in lower or "arobase" in lower or "arroba" in lower
+# The hints pass every text that their transducer would change, and some more.
+
+
+def _spells(folded: str) -> bool:
+    """Whether enough words in a row can be spelled digits, whatever stands between or around them."""
+    return b"\1" * LEAST_SPELLED in bytes(map(SPELLING.__contains__, WORD.findall(folded)))
+
+
+def _disguises(folded: str) -> bool:
+    if any(c in folded for c in "[({<") or any(word in folded for word in ("dot", "arobase", "arroba")):
+        return True
+    return "@" in folded and any(word in folded for word in _dot.split("|"))
 
 
 class Mapped:
@@ -215,7 +228,7 @@ def unspell(m: Mapped) -> None:
             continue
         for i, w in enumerate(words):
             after = words[i + 1].start() if i + 1 < len(words) else w.end()
-            new = DIGIT_WORDS[w[0].lower()] if w["digit"] else "." if w["dot"] else "+"
+            new = DIGIT_WORDS[_folded(w[0])] if w["digit"] else "." if w["dot"] else "+"
             edits.append((w.start(), w.end(), new))
             if after > w.end():
                 edits.append((w.end(), after, ""))
@@ -241,9 +254,9 @@ def disguised(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, i
     m = Mapped(text)
     if _has_glyphs(text):
         unglyph(m)
-    if _spells(m.text.lower()):
+    if _spells(_folded(m.text)):
         unspell(m)
-    if _disguises(m.text.lower()):
+    if _disguises(_folded(m.text)):
         undisguise(m)
     if m.text is text:
         return []

@@ -88,6 +88,31 @@ def test_ordinary_text_has_no_added_finds(text):
     assert pii.disguised(text, pii.detect(text)) == []
 
 
+def without_hints(text, monkeypatch):
+    with monkeypatch.context() as m:
+        for hint in ("_has_glyphs", "_spells", "_disguises"):
+            m.setattr(pii, hint, lambda _: True)
+        return pii.disguised(text, pii.detect(text))
+
+
+def test_hints_lose_nothing(monkeypatch):
+    digits = "four nine one five one two three four five six seven".split()
+    gaps = [" ", "\t", "\n", ",", ".", "-", ", ", " ,", " - ", "...", "\u00a0", "\u2003,"]
+    texts = ["plus " + gap.join(digits) + " end" for gap in gaps]
+    texts += [f"anna{a}at{a}firma{b}dot{b}com" for a in (" ", "\t", "\n") for b in (" ", "\t", "\n", "\u00a0")]
+    texts += [f"anna@firma{a}{dot}{a}de" for a in (" ", "\n") for dot in ("dot", "punkt", "Punkt", "point", "punto", "PO\u0130NT")]
+    texts += ["anna AROBASE firma point fr", "anna aroba\u017fe firma po\u0131nt fr", "+1 (four five six) 234 5678"]
+    texts += ["plus " + " ".join(digits).replace("six", "\u017fix")]
+    for text in texts:
+        found = without_hints(text, monkeypatch)
+        assert found and pii.disguised(text, pii.detect(text)) == found, text
+    r = random.Random(8)
+    parts = [*digits, *gaps, "plus", "dot", "punkt", "at", "arroba", "@", "a@b", "(", ")", "x", "com", "+1", "10", "/", "_"]
+    for _ in range(20_000):
+        text = "".join(r.choice(parts) + r.choice(["", " ", r.choice(gaps)]) for _ in range(r.randint(3, 25)))
+        assert pii.disguised(text, pii.detect(text)) == without_hints(text, monkeypatch), text
+
+
 def test_long_runs_take_linear_time():
     for text in ("a" * 1_000_000, "1" * 1_000_000, "@" * 300_000, "a@" * 300_000, "+1 " * 200_000, "one " * 100_000, "at " * 200_000, "x [at] " * 50_000):
         found = pii.detect(text)

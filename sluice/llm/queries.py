@@ -70,7 +70,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_spans(spark, table(spark, sf_dir, "documents"))
+    return repeated_spans(spark, table(spark, sf_dir, "documents"), growing=True)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,14 @@ one of equal runs, by document id and place, stays; sentences that any other of
 are removed.  A document that is shorter than a run is one run as a whole.  Runs of few words
 repeat by chance and are not compared.
 
+When runs may grow (``growing``), one of few words is lengthened instead of passed over: from each
+sentence on, and up to each sentence, until it has the sentences and the words.  So a repeated
+passage of whole sentences is covered from its first to its last one, however short they are.
+A sentence of twice the least words or more is then cut into pieces, each taken as a
+sentence: after words whose hash is the smallest among their neighbours, which depends on these
+alone.  So it is found between other neighbours too, and so are long parts of it, but for the words before the
+first cut and after the last one in it.
+
 Sentences end at ``.``, ``!`` or ``?`` before white space, and at line ends; they are
 compared in lower case with single spaces.  Offsets are code points, ends exclusive.
 
@@ -29,6 +37,10 @@ from sluice.llm.common import prepare, staged
 RUN = 2
 LEAST_WORDS = 10
 
+#: Words on each side among which a long sentence is cut at most once, and words of the longest piece.
+NEAR = 4
+LONGEST = 40
+
 GAP = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 SPANS = "doc_id long, start int, end int, h1 long, h2 long"
 
@@ -51,23 +63,74 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return trimmed
 
 
-def runs(text: str, run: int, least_words: int) -> Iterator[tuple[int, int, bytes]]:
+WORD = re.compile(r"\S+")
+
+
+def pieces(text: str, start: int, end: int, size: int) -> Iterator[tuple[int, int]]:
+    """Start and end of the pieces of a long sentence; where nothing cuts it for long, ``size`` words each."""
+    places = [m.span() for m in WORD.finditer(text, start, end)]
+    words = [text[a:b].lower().encode("utf-8", "replace") for a, b in places]
+    hashes = [xxhash.xxh64_intdigest(b"%b %b" % pair) for pair in zip(words, words[1:])]
+    cuts = [
+        i + 1
+        for i in range(NEAR, len(hashes) - NEAR)
+        if hashes[i] < min(hashes[i - NEAR : i]) and hashes[i] <= min(hashes[i + 1 : i + 1 + NEAR])
+    ]
+    at = 0
+    for cut in (*(cuts or [len(places) // 2]), len(places)):
+        step = size if cut - at > LONGEST else cut - at
+        for first in range(at, cut, step):
+            yield places[first][0], places[min(first + step, cut) - 1][1]
+        at = cut
+
+
+def grown(sizes: list[int], run: int, least_words: int) -> set[tuple[int, int]]:
+    """Shortest runs (from, to) from each sentence on and up to each, of enough sentences and words."""
+    upto = [0]
+    for size in sizes:
+        upto.append(upto[-1] + size)
+    out, a, b = set(), 0, 0
+    for i in range(len(sizes)):
+        b = max(b, min(i + run, len(sizes)))
+        while b < len(sizes) and upto[b] - upto[i] < least_words:
+            b += 1
+        if b - i >= run and upto[b] - upto[i] >= least_words:
+            out.add((i, b))
+    for j in range(run, len(sizes) + 1):
+        while a + 1 <= j - run and upto[j] - upto[a + 1] >= least_words:
+            a += 1
+        if upto[j] - upto[a] >= least_words:
+            out.add((a, j))
+    if 0 < len(sizes) < run and upto[-1] >= least_words:
+        out.add((0, len(sizes)))
+    return out
+
+
+def runs(text: str, run: int, least_words: int, growing: bool = False) -> Iterator[tuple[int, int, bytes]]:
     """Start, end and normalised words of each run that is long enough to compare."""
     own = sentences(text)
     words = [text[a:b].lower().split() for a, b in own]
-    for i in range(max(1, len(own) - run + 1) if own else 0):
-        part = words[i : i + run]
-        if sum(map(len, part)) >= least_words:
-            last = own[min(i + run, len(own)) - 1]
-            yield own[i][0], last[1], "\n".join(map(" ".join, part)).encode("utf-8", "replace")
+    if growing:
+        own = [
+            piece
+            for (a, b), w in zip(own, words)
+            for piece in (pieces(text, a, b, least_words) if len(w) >= 2 * least_words else ((a, b),))
+        ]
+        words = [text[a:b].lower().split() for a, b in own]
+        chosen = sorted(grown([*map(len, words)], run, least_words))
+    else:
+        starts = range(max(1, len(own) - run + 1) if own else 0)
+        chosen = [(i, min(i + run, len(own))) for i in starts if sum(map(len, words[i : i + run])) >= least_words]
+    for i, j in chosen:
+        yield own[i][0], own[j - 1][1], "\n".join(map(" ".join, words[i:j])).encode("utf-8", "replace")
 
 
-def _spans(run: int, least_words: int):
+def _spans(run: int, least_words: int, growing: bool):
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, starts, ends, digests = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for start, end, words in runs(text or "", run, least_words):
+                for start, end, words in runs(text or "", run, least_words, growing):
                     ids.append(doc_id)
                     starts.append(start)
                     ends.append(end)
@@ -119,12 +182,13 @@ def repeated_spans(
     text_col: str = "text",
     run: int = RUN,
     least_words: int = LEAST_WORDS,
+    growing: bool = False,
 ) -> DataFrame:
     """doc_id, start, end of what is removed, and first_id, a document where some of it stays."""
     prepare(spark)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     narrow = narrow.filter("doc_id is not null")
-    spans = staged(spark, narrow.mapInArrow(_spans(run, least_words), SPANS), "spans")
+    spans = staged(spark, narrow.mapInArrow(_spans(run, least_words, growing), SPANS), "spans")
     first = (
         spans.groupBy("h1", "h2")
         .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))

@@ -1,3 +1,4 @@
+import random
 import re
 
 from sluice.llm import spans as sp
@@ -74,3 +75,48 @@ def test_texts_lose_what_was_found(spark, make, prose):
 
 def test_merging():
     assert sp.merged([(5, 9, 3), (0, 4, 2), (8, 12, 1)]) == [(0, 4, 2), (5, 12, 1)]
+
+
+def covered(spark, docs):
+    out = {}
+    for r in sp.repeated_spans(spark, docs, growing=True).collect():
+        out.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    return out
+
+
+def test_growing_runs_cover_short_and_long_sentences(spark, make, prose):
+    short = "Yes. No.\nErwhed!! Well then? " + " ".join(f"W{i}." for i in range(60)) + " So it is. Ab. Cd. Ef gh ij kl mn. Op."
+    long = prose(4, 400).replace(".", "") + "."
+    middle = " ".join(long.split()[3:22]) + " " + " ".join(long.split()[22:48]) + "."
+    few = "Just a short one of eleven words that stands alone here."
+    rows = [(1, "Own first. " + short + " Own last."), (2, "Other start.\n" + short + "\nOther end of it."),
+            (3, "Here. " + long + " There."), (4, "Before that. " + long + " After that."), (5, prose(6, 50) + " " + middle),
+            (6, "Aa bb. " + middle + " Cc dd."), (7, "Left of it. " + few + " Right."), (8, "Up. " + few + " Down."), (9, "Yes. No."), (10, "Yes. No.")]
+    got = covered(spark, make(rows))
+    texts = dict(rows)
+
+    def place(i, part):
+        at = texts[i].index(part)
+        return set(range(at, at + len(part)))
+
+    assert got[2] >= place(2, short[:-1]) and got[4] >= place(4, long)
+    # Part of a long sentence is found from the first boundary on.
+    assert len(got[6] & place(6, middle)) >= 0.6 * len(middle)
+    assert set(got) == {2, 4, 5, 6} and not got[2] & place(2, "Other start.") and not got[4] & place(4, "After that.")
+
+
+def test_growing_runs_find_no_less(spark, documents):
+    fixed, more = found(spark, documents), covered(spark, documents)
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    assert all(more[i] >= {k for k in gone if not texts[i][k].isspace()} for i, gone in fixed.items())
+
+
+def test_grown_runs_are_the_shortest():
+    r = random.Random(3)
+    for _ in range(500):
+        sizes = [r.choice((1, 1, 2, 3, 12)) for _ in range(r.randint(0, 14))]
+        good = {(i, j) for i in range(len(sizes)) for j in range(i + 2, len(sizes) + 1) if sum(sizes[i:j]) >= 10}
+        want = {(i, min(j for a, j in good if a == i)) for i, _ in good} | {(max(i for i, b in good if b == j), j) for _, j in good}
+        if len(sizes) == 1 and sizes[0] >= 10:
+            want = {(0, 1)}
+        assert sp.grown(sizes, 2, 10) == want

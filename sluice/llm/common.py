@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.context import scratch_root
 
@@ -36,6 +37,11 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of a text; null counts as empty.  With the id it says which row a decision is about."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
+
+
 def texts_of(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
     """The texts of an Arrow string column as UTF-8; null counts as empty."""
     for value in column.cast(pa.large_binary()):

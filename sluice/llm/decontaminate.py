@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import prepare, staged
+from sluice.llm.common import prepare, staged, text_key
 
 WORDS = 5
 CONTAINMENT = 0.8
@@ -90,6 +90,14 @@ def contaminated(
     containment: float = CONTAINMENT,
 ) -> DataFrame:
     """doc_id, item_id, matched, item_shingles, containment for every find."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), words_of(F.col(text_col)).alias("words"))
+    return _finds(spark, narrow, benchmark, item_col, item_text_col, containment)
+
+
+def _finds(
+    spark: SparkSession, narrow: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, containment: float
+) -> DataFrame:
+    """Finds for doc_id, of any type, and words."""
     prepare(spark)
     items = benchmark.select(
         F.col(item_col).cast("long").alias("item_id"), words_of(F.col(item_text_col)).alias("words")
@@ -97,7 +105,6 @@ def contaminated(
     whole = items.select("item_id", F.array_distinct(shingles(F.col("words"))).alias("item")).filter(F.size("item") > 0)
     whole = staged(spark, whole, "items")
     sketch = staged(spark, sketches(items, containment), "sketches")
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), words_of(F.col(text_col)).alias("words"))
     hashed = narrow.select(
         "doc_id",
         (F.size("words") - (WORDS - 1)).alias("doc_shingles"),
@@ -124,9 +131,12 @@ def contaminated(
     )
 
 
-def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id has no find, with all their columns."""
-    found = contaminated(spark, docs, benchmark, id_col)
-    gone = staged(spark, found.select(F.col("doc_id").alias("gone_id")).distinct(), "contaminated")
+def drop_contaminated(
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose own text has no find, with all their columns, whatever their id."""
+    narrow = docs.select(text_key(F.col(text_col)).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
+    found = _finds(spark, narrow, benchmark, "item_id", "text", CONTAINMENT)
+    gone = staged(spark, found.select(F.col("doc_id").alias("gone_key")).distinct(), "contaminated")
     gone = _small(gone, BROADCAST_PAIRS)
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+    return docs.join(gone, text_key(docs[text_col]) == F.col("gone_key"), "left_anti")

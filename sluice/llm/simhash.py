@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import prepare, staged, texts_of
+from sluice.llm.common import prepare, staged, text_key, texts_of
 
 #: Bits (from, to) of the blocks that are masked in turn.
 BLOCKS = ((0, 22), (22, 43), (43, 64))
@@ -69,7 +69,8 @@ def _prints(words: int):
         for batch in batches:
             found = np.array([fingerprint(t, words) for t in texts_of(batch.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
+                names=["doc_id", "fp", *batch.schema.names[2:]],
             )
 
     return prints
@@ -278,6 +279,31 @@ def keep_first(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     return one_of_each(kept, id_col) if repeated.limit(1).count() else kept
 
 
+def keep_first_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component stays: the one with the smallest id, no id last, and then text key.
+
+    Each row has its own decision, also where an id is null or stands on several texts.
+    """
+    prepare(spark)
+    own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    narrow = docs.select(own_id.alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("text_key"))
+    prints = narrow.mapInArrow(_prints(SHINGLE_WORDS), "doc_id long, fp long, text_key binary")
+    prints = staged(spark, prints, "prints")
+    nodes = staged(spark, prints.groupBy("fp").agg(F.min(F.struct("doc_id", "text_key")).alias("low")), "nodes")
+    rooted = connected(spark, nodes, staged(spark, near_links(nodes), "links")).withColumnRenamed("low", "root")
+    roots = nodes.join(rooted, "fp", "left").select("fp", F.coalesce("root", "low").alias("root"))
+    later = prints.join(staged(spark, roots, "roots"), "fp").filter(F.struct("doc_id", "text_key") != F.col("root"))
+    gone = later.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    gone = staged(spark, gone, "gone")
+    own = (own_id == F.col("gone_id")) & (text_key(F.col(text_col)) == F.col("gone_key"))
+    kept = docs.join(gone, own, "left_anti")
+    if not prints.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count():
+        return kept
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    held = kept.select(own_id.alias("one_id"), text_key(F.col(text_col)).alias("one_key"), row)
+    return held.groupBy("one_id", "one_key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
+
+
 def one_of_each(docs: DataFrame, id_col: str) -> DataFrame:
     """One row for each id, the smallest by its JSON form; rows without an id all stay."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))

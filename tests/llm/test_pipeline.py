@@ -22,3 +22,28 @@ def test_registered():
     assert set(queries.QUERIES) <= names and set(queries.ORACLE) <= set(queries.QUERIES)
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
     assert "daily_summary" in names
+
+
+def test_rows_without_id_and_of_one_id_have_their_own_decisions(spark, make, prose):
+    import corpus_pipeline as cp
+    from sluice.llm.decontaminate import drop_contaminated
+    from sluice.llm.quality import keep_good
+
+    item, base, other = prose(1, 40), prose(2, 300), prose(3, 300)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, base + " " + item), (None, other), (7, item), (7, other), (None, None)]
+    kept = [(r.doc_id, r.text) for r in drop_contaminated(spark, make(rows), bench).collect()]
+    assert sorted(kept, key=repr) == sorted([(None, other), (7, other), (None, None)], key=repr)
+
+    rows = [(None, base), (None, base), (5, base), (5, other), (6, other), (None, prose(4, 200)), (8, prose(4, 200).upper())]
+    kept = [(r.doc_id, r.text) for r in cp.near_copies(spark, make(rows), "").collect()]
+    assert sorted(kept) == sorted([(5, base), (5, other), (8, prose(4, 200).upper())])
+    kept = [(r.doc_id, r.text) for r in cp.near_copies(spark, make([(None, base), (None, base), (None, other)]), "").collect()]
+    assert sorted(kept, key=repr) == sorted([(None, base), (None, other)], key=repr)
+
+    trusted = [(i, " ".join(prose(9, 400).split()[i : i + 200])) for i in range(150)]
+    bad = " ".join(f"q{i}z" for i in range(200))
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in trusted], "doc_id long, quality int, toxic int")
+    docs = make(trusted + [(None, bad), (None, trusted[3][1]), (500, bad), (500, trusted[3][1])])
+    kept = [(r.doc_id, r.text) for r in keep_good(spark, docs, labels).collect() if r.doc_id is None or r.doc_id == 500]
+    assert sorted(kept, key=repr) == sorted([(None, trusted[3][1]), (500, trusted[3][1])], key=repr)

@@ -279,9 +279,90 @@ def keep_first(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     return one_of_each(kept, id_col) if repeated.limit(1).count() else kept
 
 
+#: Near copies of the stage: shingles of so many words, and what two texts must share of all they have.
+SIMILAR_WORDS = 5
+JACCARD = 0.8
+#: A band is so many smallest hashes; at 0.8 two texts miss each other in all bands once in 2,800 pairs.
+BANDS, BAND_ROWS = 20, 5
+#: Members up to which all of a bucket are compared; in larger ones each with the smallest and largest.
+ALL_PAIRS = 16
+
+_draws = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
+_XORS, _FACTORS = _draws[0], _draws[1] | ONE
+
+
+def similar_shingles(text: bytes) -> np.ndarray:
+    """Sorted hashes of the different shingles; a shorter text is one shingle."""
+    parts = text.lower().split()
+    n = max(1, len(parts) - SIMILAR_WORDS + 1) if parts else 0
+    hashed = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((hashed(b" ".join(parts[i : i + SIMILAR_WORDS]), SEED) for i in range(n)), np.uint64, n))
+
+
+def bands(shingles: np.ndarray) -> list[int]:
+    """One number for each band of smallest hashes."""
+    low = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), 512):
+        low = np.minimum(low, ((shingles[at : at + 512, None] ^ _XORS) * _FACTORS).min(axis=0))
+    rows = low.reshape(BANDS, BAND_ROWS)
+    return [xxhash.xxh64_intdigest(row.tobytes(), seed=i) for i, row in enumerate(rows)]
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, found = [], []
+        for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+            shingles = similar_shingles(text)
+            if len(shingles):
+                keys += [key] * BANDS
+                found += bands(shingles)
+        found = pa.array(np.array(found, np.uint64).view(np.int64))
+        yield pa.RecordBatch.from_arrays([found, pa.array(keys, pa.binary())], names=["band", "own"])
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = list(texts_of(batch.column(1)))
+        fps = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
+        sets = pa.array([similar_shingles(t).tobytes() for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), sets], names=["own", "fp", "shingles"])
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        true = []
+        for one, two in zip(batch.column(2), batch.column(3)):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            true.append(both >= JACCARD * (len(x) + len(y) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(true, pa.bool_()))
+
+
+def similar_links(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """Links a, b between fingerprints of texts (text_key, text) that are alike, each verified on all shingles."""
+    met = staged(spark, texts.mapInArrow(_bands, "band long, own binary").distinct(), "bands")
+    sizes = met.groupBy("band").agg(F.count("*").alias("n"), F.min("own").alias("first"), F.max("own").alias("last"))
+    shared = staged(spark, met.join(sizes.filter("n > 1"), "band"), "shared")
+    few = shared.filter(F.col("n") <= ALL_PAIRS).select("band", "own")
+    pairs = few.join(few.withColumnRenamed("own", "other"), "band").filter("own < other").select("own", "other")
+    many = shared.filter(F.col("n") > ALL_PAIRS)
+    for end in ("first", "last"):
+        pairs = pairs.union(many.filter(F.col("own") != F.col(end)).select("own", F.col(end).alias("other")))
+    pairs = staged(spark, pairs.distinct(), "alike")
+    needed = pairs.select("own").union(pairs.select("other")).distinct()
+    chosen = texts.join(needed.withColumnRenamed("own", "needed"), F.col("text_key") == F.col("needed"), "left_semi")
+    sets = staged(spark, chosen.dropDuplicates(["text_key"]).mapInArrow(_shingled, "own binary, fp long, shingles binary"), "sets")
+    one = sets.select("own", F.col("fp").alias("a"), F.col("shingles").alias("x"))
+    two = sets.select(F.col("own").alias("other"), F.col("fp").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(one, "own").join(two, "other").filter("a <> b").select("a", "b", "x", "y")
+    return both.mapInArrow(_similar, "a long, b long").distinct()
+
+
 def keep_first_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component stays: the one with the smallest id, no id last, and then text key.
 
+    Linked are fingerprints in reach, and texts that share enough of their shingles of five words.
+
     Each row has its own decision, also where an id is null or stands on several texts.
     """
     prepare(spark)
@@ -290,7 +371,8 @@ def keep_first_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     prints = narrow.mapInArrow(_prints(SHINGLE_WORDS), "doc_id long, fp long, text_key binary")
     prints = staged(spark, prints, "prints")
     nodes = staged(spark, prints.groupBy("fp").agg(F.min(F.struct("doc_id", "text_key")).alias("low")), "nodes")
-    rooted = connected(spark, nodes, staged(spark, near_links(nodes), "links")).withColumnRenamed("low", "root")
+    edges = near_links(nodes).union(similar_links(spark, narrow.select("text_key", "text"))).distinct()
+    rooted = connected(spark, nodes, staged(spark, edges, "links")).withColumnRenamed("low", "root")
     roots = nodes.join(rooted, "fp", "left").select("fp", F.coalesce("root", "low").alias("root"))
     later = prints.join(staged(spark, roots, "roots"), "fp").filter(F.struct("doc_id", "text_key") != F.col("root"))
     gone = later.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()

@@ -96,3 +96,15 @@ def test_stage_keeps_one_of_each(spark, make, prose):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 2, 9, None], key=repr)
     assert sh.keep_first(spark, docs.limit(0)).count() == 0
+
+
+def test_rows_out_of_reach_that_share_most_shingles_are_one(spark, make, prose):
+    base = prose(5, 300).split()
+    near = [*base]
+    near[40] = near[150] = near[151] = near[260] = "changed"
+    far = [*base]
+    far[10::12] = ["changed"] * len(far[10::12])
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (4, prose(8, 300)), (5, "two words"), (6, "two  more")]
+    a, b = (sh.fingerprint(t.encode()) for _, t in rows[:2])
+    assert bin(a ^ b).count("1") > sh.RADIUS
+    assert sorted(r.doc_id for r in sh.keep_first_rows(spark, make(rows)).collect()) == [1, 3, 4, 5, 6]

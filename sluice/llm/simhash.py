@@ -25,6 +25,7 @@ or null when there is none; repeated rows come out as often as they go in.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -287,13 +288,14 @@ BANDS, BAND_ROWS = 20, 5
 #: Members up to which all of a bucket are compared; in larger ones each with the smallest and largest.
 ALL_PAIRS = 16
 
+LETTERS = re.compile(r"[^\W_]+")
 _draws = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
 _XORS, _FACTORS = _draws[0], _draws[1] | ONE
 
 
 def similar_shingles(text: bytes) -> np.ndarray:
-    """Sorted hashes of the different shingles; a shorter text is one shingle."""
-    parts = text.lower().split()
+    """Sorted hashes of the different shingles of runs of letters and digits; a shorter text is one shingle."""
+    parts = [w.encode() for w in LETTERS.findall(text.decode("utf-8", "replace").lower())]
     n = max(1, len(parts) - SIMILAR_WORDS + 1) if parts else 0
     hashed = xxhash.xxh64_intdigest
     return np.unique(np.fromiter((hashed(b" ".join(parts[i : i + SIMILAR_WORDS]), SEED) for i in range(n)), np.uint64, n))

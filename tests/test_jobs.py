@@ -6,7 +6,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
-from conftest import SF_DIR
+from shared import SF_DIR
 
 from sluice.domains import vehicles as domain
 from sluice.operators.quality import GateError

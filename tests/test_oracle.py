@@ -2,7 +2,7 @@
 
 import __spark_entry__ as entry_point
 import pytest
-from conftest import SF_DIR
+from shared import SF_DIR
 
 from verification.compare import difference, duck
 

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF_DIR
+from shared import SF_DIR
 
 from sluice.domains import vehicles as domain
 from sluice.operators import measures

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import table
 from sluice.llm.decontaminate import contaminated
+from sluice.llm.embedding_dedup import near_vectors
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.lm_score import score_texts
 from sluice.llm.packing import pack_documents
+from sluice.llm.periodic_runs import periodic_runs
+from sluice.llm.phrases import collocations
 from sluice.llm.pii import personal_data
 from sluice.llm.quality import classify
 from sluice.llm.secret_scan import scan
@@ -99,6 +102,46 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, table(spark, sf_dir, "documents"), label)
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
+#: Every tenth document by the hash of its id is made periodic from some word on, so that there are runs to find.
+_REPEATED = r"""
+with t as (
+  select doc_id, text, crc32(cast(doc_id as string)) as h,
+    filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as w
+  from {docs}
+), p as (
+  select *, h div 10 % size(w) as a, 1 + (size(w) - h div 10 % size(w)) div (3 + h div 10 % 8) as p from t
+)
+select doc_id, case when h % 10 = 0 and size(w) > 0
+  then array_join(transform(w, (x, i) -> case when i < a then x else w[int(a + (i - a) % p)] end), ' ')
+  else text end as text
+from p
+"""
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(spark, spark.sql(_REPEATED, docs=docs))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("back"), (-r.period).alias("short"))))
+    top = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    period = -F.col("top.short")
+    return top.select(
+        "doc_id", "n_runs", (-F.col("top.back")).alias("start"), "top.length", period.alias("period"),
+        F.floor(F.col("top.length") * 1000 / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,7 +152,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_exact_dedup, op3_quality, op4_decontaminate, op5_spans,
-        op6_simhash, op7_packing, op8_pii, op9_lm_score, op10_secrets, pipeline,
+        op6_simhash, op7_packing, op8_pii, op9_lm_score, op10_secrets,
+        op11_embedding_dedup, op12_periodic_runs, op13_phrases, pipeline,
     )
 }
 
@@ -176,4 +220,44 @@ select c.page_id, url, strftime(timestamp '2024-01-01' + to_hours(hour), '%Y-%m-
 from captures c left join best b on c.page_id = b.page_id and nth = 1
 """
 
-ORACLE: dict[str, str] = {"op1_url_filter": _LISTED, "op2_exact_dedup": _EQUAL_TEXTS, "op4_decontaminate": _LEAKS}
+_PHRASES = r"""
+with w as (
+  select lang, piece, list_filter(string_split_regex(p, '[ \t]+'), lambda x: x <> '') as w from (
+    select coalesce(lang, 'und') as lang, row_number() over () as piece,
+      unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) as p
+    from documents)
+), n as (select lang, sum(len(w))::bigint as n from w group by 1
+), grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) as phrase
+  from w, (select unnest([1, 2, 3]) as k) where len(w) >= k
+), f as (select lang, k, phrase, count(*) as a from grams group by all having count(*) >= 10
+), cuts as (
+  select f.lang, f.phrase, f.k as words, f.a, c.k,
+    array_to_string(string_split(f.phrase, ' ')[1:c.k], ' ') as one, array_to_string(string_split(f.phrase, ' ')[c.k+1:], ' ') as two
+  from f, (select unnest([1, 2]) as k) c where f.k > 1 and c.k < f.k
+), scored as (
+  select cuts.lang, cuts.phrase, cuts.a, cuts.k, l.a as l, r.a as r,
+    (1000000::hugeint * cuts.a * cuts.a // (l.a::hugeint * r.a))::bigint as score
+  from cuts join f l on l.lang = cuts.lang and l.phrase = one join f r on r.lang = cuts.lang and r.phrase = two
+), weakest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inner_pairs as (
+  select lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) as phrase
+  from f where k = 3
+), longer as (select lang, phrase, max(a) as most from inner_pairs group by all
+), kept as (
+  select w.* from weakest w left join longer g on w.lang = g.lang and w.phrase = g.phrase
+  where g.most is null or 100 * g.most < 50 * w.a
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_url_filter": _LISTED,
+    "op2_exact_dedup": _EQUAL_TEXTS,
+    "op4_decontaminate": _LEAKS,
+    "op13_phrases": _PHRASES,
+}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sluice.context import Run
 from sluice.functions import nullify
 from sluice.operators.dedupe import dedupe
-from sluice.operators.rules import Rule, evaluate, invalid_rows, valid_rows
+from sluice.operators.rules import RAW, RAW_PREFIX, Rule, evaluate, invalid_rows, raw_if_broken, valid_rows
 
 COPIES = "_copies"
 
@@ -83,21 +83,32 @@ class Curated:
 
     @property
     def valid(self) -> DataFrame:
-        return valid_rows(self.evaluated).drop(COPIES)
+        return valid_rows(self.evaluated).drop(COPIES, RAW)
 
     @property
     def invalid(self) -> DataFrame:
         return invalid_rows(self.evaluated).drop(COPIES)
 
 
-def curate(raw: DataFrame, spec: Dataset, run: Run, order_by: Sequence[str] = ()) -> Curated:
+def clean_with_raw(raw: DataFrame, spec: Dataset, run: Run) -> DataFrame:
+    """Typed columns, and the raw text of the rows that break a rule."""
+    held = {RAW_PREFIX + c: F.col(c) for c in spec.columns}
+    cleaned = clean(raw.withColumns(held), spec)
+    # A row's survivor is chosen by its cleaned columns: the raw text comes last.
+    return raw_if_broken(spec.rules(run), list(held), cleaned)
+
+
+def curate(
+    raw: DataFrame, spec: Dataset, run: Run, order_by: Sequence[str] = (), keep_raw: bool = False
+) -> Curated:
     """Clean, keep one row per key, evaluate the rules.
 
     ``order_by`` names the columns that say which copy came first; they are
     dropped, but for the archive a row came from.  Constants of the run are
-    added after the shuffle, not carried through it.
+    added after the shuffle, not carried through it.  With ``keep_raw`` rejected rows keep the text they came as.
     """
-    one_per_key = dedupe(clean(raw, spec), spec.keys, order_by, copies=COPIES)
+    cleaned = clean_with_raw(raw, spec, run) if keep_raw else clean(raw, spec)
+    one_per_key = dedupe(cleaned, spec.keys, order_by, copies=COPIES)
     stamps = {n: c for n, c in provenance(run).items() if n not in one_per_key.columns}
     helpers = [c for c in order_by if c != "source_zip"]
     columns = [c for c in one_per_key.columns if c != COPIES and c not in helpers]

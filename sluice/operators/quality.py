@@ -66,6 +66,70 @@ def gate_metrics(
     )
 
 
+def event_metrics(flagged: DataFrame, allowed_severities: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """All counts about events as one row, from one pass with one shuffle.
+
+    ``flagged`` holds each evaluated event once, with ``_known`` set if its vehicle is known: what
+    came in, was kept, rejected, is unknown or enriched, and what the gate counts on enriched rows.
+    """
+    known = is_valid() & F.col("_known").isNotNull()
+    checks = {name: count_true(known & broken) for name, broken in row_checks(allowed_severities).items()}
+    counts = {
+        "input_rows": F.sum(COPIES),
+        "kept_rows": F.count("*"),
+        "reject_rows": count_true(~is_valid()),
+        "unknown_rows": count_true(is_valid() & F.col("_known").isNull()),
+        "enriched_rows": count_true(known),
+        **checks,
+    }
+    per_key = flagged.groupBy(*key).agg(*[value.alias(name) for name, value in counts.items()])
+    return per_key.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
+        count_true(F.col("enriched_rows") > 1).alias("duplicate_event_key"),
+    )
+
+
+def one_row(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """One-row frames of counts as a single row; a column is called after its frame and its name.
+
+    Each frame is computed once, whatever is then made of the row.
+    """
+    names = {f"{prefix}_{c}": (prefix, c) for prefix, df in frames.items() for c in df.columns}
+    facts = union_all(
+        [
+            df.select(
+                F.inline(
+                    F.array(*[F.struct(F.lit(f"{prefix}_{c}").alias("fact"), F.col(c).cast("bigint").alias("n")) for c in df.columns])
+                )
+            )
+            for prefix, df in frames.items()
+        ]
+    )
+    return facts.agg(
+        *[F.coalesce(F.max(F.when(F.col("fact") == name, F.col("n"))), F.lit(0)).alias(name) for name in names]
+    )
+
+
+def listed(row: DataFrame, checks: Mapping[str, Mapping[str, Column]], counts: Mapping[str, Column]) -> DataFrame:
+    """Report rows out of one row: checks by dataset, which fail above zero, and plain counts."""
+    entries = [
+        (dataset, metric, value, F.when(value > 0, "FAILED").otherwise("PASSED"))
+        for dataset, metrics in checks.items()
+        for metric, value in metrics.items()
+    ]
+    entries += [("pipeline", metric, value, F.lit("INFO")) for metric, value in counts.items()]
+    structs = [
+        F.struct(
+            F.lit(dataset).alias("dataset_name"),
+            F.lit(metric).alias("metric_name"),
+            value.cast("bigint").alias("metric_value"),
+            status.alias("status"),
+        )
+        for dataset, metric, value, status in entries
+    ]
+    return row.select(F.inline(F.array(*structs)))
+
+
 def _side_by_side(counts: Mapping[str, DataFrame]) -> DataFrame:
     """One-row frames with a column ``n`` as the columns of one row."""
     tagged = [df.select(F.lit(name).alias("side"), "n") for name, df in counts.items()]

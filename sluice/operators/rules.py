@@ -14,6 +14,8 @@ from sluice.functions import as_json
 
 REASON = "reject_reason"
 REASON_MARK = "|"
+#: The text of a rejected row as it came, if it was asked for.
+RAW = "raw_json"
 
 
 @dataclass(frozen=True)
@@ -86,18 +88,42 @@ def reason_list() -> Column:
     return F.split(REASON, r"\|")
 
 
-def reject_envelope(invalid: DataFrame, dataset: str, run: Run) -> DataFrame:
-    """One common shape for rejects: what, when, why, and the row as JSON."""
+def raw_if_broken(rules: Sequence[Rule], raw: Sequence[str], cleaned: DataFrame) -> DataFrame:
+    """Add the raw columns as JSON to rows that break a rule, NULL to all others.
+
+    Rules look at one row, so this can be told before copies are dropped; good rows
+    carry nothing more than a NULL.  ``raw`` names the columns of ``cleaned`` with raw text; they go.
+    """
+    any_broken = reduce(lambda a, b: a | b, [rule.broken for rule in rules])
+    text = F.to_json(F.struct(*[F.col(c).alias(c.removeprefix(RAW_PREFIX)) for c in raw]))
+    return cleaned.withColumn(RAW, F.when(any_broken, text)).drop(*raw)
+
+
+#: How the raw columns are called while they stand beside the cleaned ones.
+RAW_PREFIX = "_raw_"
+
+
+def reject_envelope(invalid: DataFrame, dataset: str | Column, run: Run) -> DataFrame:
+    """One common shape for rejects: what, when, why, and the row as JSON.
+
+    Rows that carry their raw text have it in a column of its own.
+    """
+    raw = [RAW] if RAW in invalid.columns else []
     return invalid.select(
-        F.lit(dataset).alias("dataset_name"),
+        (F.lit(dataset) if isinstance(dataset, str) else dataset).alias("dataset_name"),
         F.lit(run.business_date).alias("business_date"),
         F.lit(run.run_id).alias("pipeline_run_id"),
         F.col(REASON),
-        as_json(invalid.columns).alias("record_json"),
+        as_json([c for c in invalid.columns if c not in (RAW, DATASET)]).alias("record_json"),
         F.lit(run.started_at).alias("rejected_at"),
+        *raw,
     )
 
 
+#: A column that says to which dataset a rejected row is counted; it is no part of the record.
+DATASET = "_dataset"
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame | None:
     """All rows of all frames, matched by column name; None for no frames."""
     if not frames:

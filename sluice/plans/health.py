@@ -19,6 +19,7 @@ from sluice.operators.joins import (
     BROADCAST_BYTES,
     attach_profile,
     enrich,
+    lookup,
     unknown_refs,
     vehicle_profile,
 )
@@ -31,7 +32,7 @@ from sluice.operators.quality import (
     rate_checks,
     row_checks,
 )
-from sluice.operators.rules import REASON, is_valid, reject_envelope, union_all
+from sluice.operators.rules import DATASET, RAW, REASON, is_valid, reject_envelope, union_all
 from sluice.sinks.files import publish, remove_folder, stage
 from sluice.sinks.tables import register_all
 from sluice.sources.files import join_path
@@ -57,66 +58,117 @@ class RawTables:
         frames = (self.telemetry, self.service, self.vehicles, self.dealers)
         return self.input_bytes or sum(map(planned_bytes, frames))
 
-    def curated(self, name: str, spec: domain.Dataset, run: Run) -> Curated:
-        return curate(getattr(self, name), spec, run, self.order_by.get(name, ()))
+    def curated(self, name: str, spec: domain.Dataset, run: Run, keep_raw: bool = False) -> Curated:
+        return curate(getattr(self, name), spec, run, self.order_by.get(name, ()), keep_raw)
 
 
-def unknown_vehicle_rejects(unknown: DataFrame, run: Run) -> DataFrame:
-    """Envelopes for events of vehicles that are not in the master table."""
-    reasoned = unknown.withColumn(REASON, F.lit(domain.UNKNOWN_VEHICLE))
-    return reject_envelope(reasoned, domain.UNKNOWN_VEHICLE_DATASET, run)
+def event_rejects(flagged: DataFrame, columns: Sequence[str], run: Run) -> DataFrame:
+    """Envelopes of rejected events, those of unknown vehicles among them, from one pass.
 
+    ``flagged`` holds each evaluated event once, with ``_known`` set if its vehicle is in the master table.
+    """
+    unknown = is_valid() & F.col("_known").isNull()
+    kept = flagged.filter(~is_valid() | unknown)
+    reason = F.when(unknown, domain.UNKNOWN_VEHICLE).otherwise(F.col(REASON))
+    dataset = F.when(unknown, domain.UNKNOWN_VEHICLE_DATASET).otherwise(domain.TELEMETRY.name)
+    raw = [RAW] if RAW in flagged.columns else []
+    named = kept.select(*columns, reason.alias(REASON), dataset.alias(DATASET), *raw)
+    return reject_envelope(named, F.col(DATASET), run)
 
-def all_rejects(invalid: Mapping[str, DataFrame], unknown: DataFrame, run: Run) -> DataFrame:
+
+def all_rejects(invalid: Mapping[str, DataFrame], events: DataFrame, run: Run) -> DataFrame:
     """Rejects of every dataset and kind in one frame."""
-    envelopes = [reject_envelope(df, name, run) for name, df in invalid.items()]
-    return union_all([*envelopes, unknown_vehicle_rejects(unknown, run)])
+    return union_all([*[reject_envelope(df, name, run) for name, df in invalid.items()], events])
 
 
 @dataclass(frozen=True)
 class Curation:
     """Every intermediate result of the health job as a lazy frame.
 
-    For queries that want one result.  The job below stages what several
-    results share; here each result is one plan of its own.
+    For queries that want one result: each is one plan of its own.  A report wants many results
+    of the same rows: with a ``scratch`` folder what several results share is staged there when it is first asked
+    for, so each raw table is read once, whatever the report asks.
     """
 
     raw: RawTables
     run: Run
+    scratch: str | None = None
+    keep_raw: bool = False
+
+    def _curated(self, name: str, spec: domain.Dataset) -> Curated:
+        curated = self.raw.curated(name, spec, self.run, self.keep_raw)
+        if self.scratch is None:
+            return curated
+        return Curated(spec, self.run, stage(curated.evaluated, self.scratch, name))
 
     @cached_property
     def telemetry(self) -> Curated:
-        return self.raw.curated("telemetry", domain.TELEMETRY, self.run)
+        if self.scratch is None:
+            return self._curated("telemetry", domain.TELEMETRY)
+        return Curated(domain.TELEMETRY, self.run, self.events.select(*self.telemetry_columns, *self.marks))
 
     @cached_property
     def service(self) -> Curated:
-        return self.raw.curated("service", domain.SERVICE, self.run)
+        return self._curated("service", domain.SERVICE)
 
     @cached_property
     def vehicles(self) -> Curated:
-        return self.raw.curated("vehicles", domain.VEHICLES, self.run)
+        return self._curated("vehicles", domain.VEHICLES)
 
     @cached_property
     def dealers(self) -> Curated:
-        return self.raw.curated("dealers", domain.DEALERS, self.run)
+        return self._curated("dealers", domain.DEALERS)
+
+    @cached_property
+    def _raw_telemetry(self) -> Curated:
+        return self.raw.curated("telemetry", domain.TELEMETRY, self.run, self.keep_raw)
+
+    @property
+    def marks(self) -> list[str]:
+        return [c for c in self._raw_telemetry.evaluated.columns if c in (COPIES, REASON, RAW)]
+
+    @property
+    def telemetry_columns(self) -> list[str]:
+        return [c for c in self._raw_telemetry.evaluated.columns if c not in (COPIES, REASON, RAW)]
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """Each evaluated event once, with the profile of its vehicle and ``_known``."""
+        profile = vehicle_profile(self.service.valid, self.vehicles.valid, self.dealers.valid)
+        events = attach_profile(self._raw_telemetry.evaluated, profile.withColumn("_known", F.lit(True)), "left")
+        return stage(events, self.scratch, "events") if self.scratch else events
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        """Each evaluated event once, with ``_known``."""
+        if self.scratch:
+            return self.events
+        known = self.vehicles.valid.select("vin").withColumn("_known", F.lit(True))
+        return lookup(self._raw_telemetry.evaluated, known, "vin")
 
     @cached_property
     def enriched(self) -> DataFrame:
-        rows = enrich(
-            self.telemetry.valid,
-            self.service.valid,
-            self.vehicles.valid,
-            self.dealers.valid,
-        )
+        if self.scratch:
+            rows = self.events.filter(is_valid() & F.col("_known").isNotNull())
+        else:
+            rows = enrich(
+                self.telemetry.valid,
+                self.service.valid,
+                self.vehicles.valid,
+                self.dealers.valid,
+            )
         return rows.select(*domain.OUTPUTS["vehicle_health_enriched"].schema.names)
 
     @cached_property
     def unknown(self) -> DataFrame:
+        if self.scratch:
+            return self.events.filter(is_valid() & F.col("_known").isNull()).select(*self.telemetry_columns)
         return unknown_refs(self.telemetry.valid, self.vehicles.valid, "vin")
 
     @cached_property
     def daily_summary(self) -> DataFrame:
-        return measures.daily_summary(self.enriched)
+        summary = measures.daily_summary(self.enriched)
+        return stage(summary, self.scratch, "daily_summary") if self.scratch else summary
 
     @cached_property
     def service_kpis(self) -> DataFrame:
@@ -126,8 +178,9 @@ class Curation:
 
     @cached_property
     def rejects(self) -> DataFrame:
-        curated = (self.telemetry, self.service, self.vehicles, self.dealers)
-        return all_rejects({c.spec.name: c.invalid for c in curated}, self.unknown, self.run)
+        tables = (self.service, self.vehicles, self.dealers)
+        events = event_rejects(self.flagged, self.telemetry_columns, self.run)
+        return all_rejects({c.spec.name: c.invalid for c in tables}, events, self.run)
 
 
 def together(*tasks: Callable[[], object]) -> list:
@@ -270,8 +323,6 @@ def _run(
         },
     )
     telemetry_clean = events.filter(is_valid()).select(*telemetry_columns)
-    telemetry_invalid = events.filter(~is_valid()).select(*telemetry_columns, REASON)
-    unknown_events = events.filter(unknown).select(*telemetry_columns)
     enriched = events.filter(known)
 
     (summary, in_summary), (kpis, in_kpis), duplicates = together(
@@ -328,7 +379,8 @@ def _run(
     report = quality_report(spark, checks, counts, run)
 
     def put(name: str, df: DataFrame) -> Callable[[], str]:
-        return lambda: publish(df, output, domain.OUTPUTS[name], run.business_date, mode, fmt)
+        # A run that is repeated under its id takes the place of what it appended before.
+        return lambda: publish(df, output, domain.OUTPUTS[name], run.business_date, mode, fmt, run.run_id)
 
     try:
         enforce(checks)
@@ -339,11 +391,8 @@ def _run(
         raise
 
     rejects = all_rejects(
-        {
-            domain.TELEMETRY.name: telemetry_invalid,
-            **{c.spec.name: c.invalid for c in (service, vehicles, dealers)},
-        },
-        unknown_events,
+        {c.spec.name: c.invalid for c in (service, vehicles, dealers)},
+        event_rejects(events, telemetry_columns, run),
         run,
     )
     together(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +13,17 @@ from sluice.operators.measures import risk_listing
 from sluice.operators.quality import GateError, count_delta, quality_listing, slice_counts
 from sluice.operators.rules import union_all
 from sluice.plans.health import together
+from sluice.paths import join_path
+from sluice.sinks.loads import load_together
+from sluice.sinks.swap import readable_folder
 from sluice.sinks.tables import (
     create_view,
     ensure_table,
     full_name,
-    load_slice,
+    register_partitions,
     recover_partitions,
     risk_view_sql,
 )
-from sluice.sources.files import join_path
 
 RISK_VIEW = "vehicle_health_risk_story"
 
@@ -46,7 +47,7 @@ def staging_table(spark: SparkSession, database: str, name: str, root: str, busi
     partitions, however long the history is.
     """
     spec = replace(OUTPUTS[name].without("business_date"), name=f"{name}_parquet_{business_date.replace('-', '_')}")
-    folder = join_path(root, name, f"business_date={business_date}")
+    folder = readable_folder(spark, join_path(root, name), f"business_date={business_date}")
     table = ensure_table(spark, database, spec, folder, recreate=True)
     if spec.partition_by:
         recover_partitions(spark, table)
@@ -67,24 +68,39 @@ def load_warehouse(
     analytics_db: str = "analytics",
     fail_on_delta: bool = False,
 ) -> Validation:
-    """Replace one date in each analytics table and compare the row counts."""
-    configure(spark)
-
-    def load(name: str) -> tuple[DataFrame, DataFrame]:
-        target = analytics_table(spark, analytics_db, name, warehouse_root)
-        staging = staging_table(spark, staging_db, name, curated_root, business_date)
-        columns = OUTPUTS[name].partitioned("business_date").data_schema.names
-        load_slice(spark, spark.table(staging), target, columns, business_date)
-        loaded = spark.table(target).filter(F.col("business_date") == business_date)
-        return spark.table(target), count_delta(spark.table(staging), loaded, name)
+    """Replace one date in all analytics tables as one unit, and compare the row counts.
 
-    done = together(*[partial(load, name) for name in ANALYTICS_TABLES])
-    targets = {name: table for name, (table, _) in zip(ANALYTICS_TABLES, done)}
+    A load that stopped is ended or forgotten by the next one of its date (see ``sluice.sinks.loads``).
+    """
+    configure(spark)
+    slice_name = f"business_date={business_date}"
+
+    def staged(name: str) -> DataFrame:
+        return spark.table(staging_table(spark, staging_db, name, curated_root, business_date))
+
+    staging = dict(zip(ANALYTICS_TABLES, together(*[lambda n=n: staged(n) for n in ANALYTICS_TABLES])))
+    columns = {n: OUTPUTS[n].partitioned("business_date").data_schema.names for n in ANALYTICS_TABLES}
+    rows = {name: df.select(*columns[name]) for name, df in staging.items()}
+    load_together(spark, warehouse_root, slice_name, rows, together)
+
+    def registered(name: str) -> str:
+        table = analytics_table(spark, analytics_db, name, warehouse_root)
+        register_partitions(spark, table, join_path(warehouse_root, name), ["business_date"], business_date)
+        return table
+
+    targets = {
+        name: spark.table(table)
+        for name, table in zip(ANALYTICS_TABLES, together(*[lambda n=n: registered(n) for n in ANALYTICS_TABLES]))
+    }
+    deltas = [
+        count_delta(staging[name], targets[name].filter(F.col("business_date") == business_date), name)
+        for name in ANALYTICS_TABLES
+    ]
     view = full_name(analytics_db, RISK_VIEW)
     create_view(
         spark, view, risk_view_sql(full_name(analytics_db, "daily_vehicle_health_summary"))
     )
-    all_deltas = union_all([delta for _, delta in done])
+    all_deltas = union_all(deltas)
     if fail_on_delta:
         wrong = all_deltas.filter("row_count_delta <> 0").collect()
         if wrong:

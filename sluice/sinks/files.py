@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from sluice.sinks.store import Store
+from sluice.sinks.swap import drop_leftovers, finish, incoming_folder, swap_in
 from sluice.sinks.tables import OutputSpec
 from sluice.sources.files import join_path
 
@@ -31,6 +34,11 @@ def conform(df: DataFrame, spec: OutputSpec) -> DataFrame:
     return out
 
 
+def run_prefix(run_id: str) -> str:
+    """How the names of the files of a run begin."""
+    return "run-" + re.sub(r"[^A-Za-z0-9-]", "-", run_id) + "."
+
+
 def replace_slice(
     df: DataFrame,
     path: str,
@@ -39,25 +47,38 @@ def replace_slice(
     sub_partitions: tuple[str, ...] = (),
     mode: str = "overwrite",
     fmt: str = "parquet",
+    run_id: str | None = None,
 ) -> str:
     """Write one slice of a table into its own folder and return that folder.
 
     Overwriting that folder drops what the slice held before, sub-partitions
     that no longer occur included, and leaves every other slice alone.  Modes
-    apply to the slice.
+    apply to the slice.  The old files count until the new ones are complete
+    (see ``sluice.sinks.swap``).  An append with a ``run_id`` takes the place of what a run of that id
+    appended before, so it can be repeated; without one every append adds.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}")
-    folder = join_path(path, f"{slice_column}={slice_value}")
+    spark = df.sparkSession
+    name = f"{slice_column}={slice_value}"
+    folder = join_path(path, name)
     rows = df.drop(slice_column)
     if sub_partitions:
         # Even, well-filled files: a large partition is cut over several tasks,
         # small ones share a task.
         rows = rows.hint("rebalance", *sub_partitions)
-    writer = rows.write.mode(mode).format(fmt).options(**FORMAT_OPTIONS[fmt])
+    writer = rows.write.format(fmt).options(**FORMAT_OPTIONS[fmt])
     if sub_partitions:
         writer = writer.partitionBy(*sub_partitions)
-    writer.save(folder)
+    finish(spark, path, name)
+    keyed = mode == "append" and run_id is not None
+    if mode != "overwrite" and not keyed:
+        writer.mode(mode).save(folder)
+        return folder
+    drop_leftovers(spark, path, name)
+    incoming = incoming_folder(path, name)
+    writer.mode("errorifexists").save(incoming)
+    swap_in(spark, path, name, incoming, run_prefix(run_id) if keyed else "")
     return folder
 
 
@@ -68,6 +89,7 @@ def publish(
     business_date: str,
     mode: str = "overwrite",
     fmt: str = "parquet",
+    run_id: str | None = None,
 ) -> str:
     """Write one date of an output table."""
     slice_column, *rest = spec.partition_by
@@ -79,6 +101,7 @@ def publish(
         tuple(rest),
         mode,
         fmt,
+        run_id,
     )
 
 
@@ -99,5 +122,4 @@ def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder of staged tables on whatever store it is."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    Store(spark).delete(folder)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
 from itertools import batched
+from typing import TYPE_CHECKING
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.functions import quoted
-from sluice.sources.files import join_path
+from sluice.paths import join_path
 from sluice.sources.schema import schema_from_ddl
 
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 #: Partitions that one statement adds.
 ADD_AT_ONCE = 100
 #: Fixed value: the folder name of a partition without a value.
@@ -183,8 +187,80 @@ def revenue_view_sql(sales_table: str) -> str:
         GROUP BY order_date"""
 
 
+FOUND = "folder string, partition string"
+
+
+def _listing(key: str, last: bool):
+    """Lists the folders ``key=...`` right below each folder; of the last key those that hold a file."""
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def visible(info) -> bool:
+            return not info.base_name.startswith(("_", "."))
+
+        for batch in batches:
+            folders, partitions = [], []
+            for folder, partition in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                store, inner = _opened(folder)
+                for info in store.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+                    if info.type != fs.FileType.Directory or not info.base_name.startswith(f"{key}="):
+                        continue
+                    if last:
+                        inside = store.get_file_info(fs.FileSelector(info.path))
+                        if not any(x.type == fs.FileType.File and visible(x) for x in inside):
+                            continue
+                    folders.append(f"{folder.rstrip('/')}/{info.base_name}")
+                    partitions.append(f"{partition}/{info.base_name}" if partition else info.base_name)
+            yield pa.RecordBatch.from_arrays([pa.array(folders, pa.string()), pa.array(partitions, pa.string())], names=["folder", "partition"])
+
+    return listing
+
+
+def _opened(folder: str):
+    """The store of a folder and its path there, as Arrow names them."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    scheme, mark, rest = folder.partition(":")
+    if not mark or "/" in scheme:
+        scheme, rest = "file", folder
+    if not rest.startswith("//"):
+        rest = "//" + rest
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
+
+
+def _reached_by_tasks(folder: str) -> bool:
+    try:
+        _opened(folder)
+    except Exception:  # noqa: BLE001 - whatever keeps Arrow from it, Spark lists the files then
+        return False
+    return True
+
+
 def discovered_partitions(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The partitions that have files, as ``k=v/k=v``; other folders are skipped."""
+    """The partitions that have files, as ``k=v/k=v``; other folders are skipped.
+
+    Folders are listed level by level, each by the task that has the one above it, and no deeper
+    than the keys go; file names reach neither the driver nor another task.  Between levels the folders are
+    dealt anew, so one date with many partitions is listed by many tasks.  A store that Arrow does not know is
+    listed by Spark, with all its files.
+    """
+    location = qualified(spark, path)
+    if not _reached_by_tasks(location):
+        return _listed_files(spark, path, keys)
+    found = spark.createDataFrame([(location, "")], FOUND)
+    for level, key in enumerate(keys):
+        if level:
+            found = found.repartition(max(2, spark.sparkContext.defaultParallelism), "folder")
+        found = found.mapInArrow(_listing(key, level == len(keys) - 1), FOUND)
+    return found.select("partition")
+
+
+def _listed_files(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -223,27 +299,42 @@ def partition_clause(partition: str) -> str:
 
 
 def register_partitions(
-    spark: SparkSession, table: str, path: str, keys: Sequence[str], slice_value: str | None = None
+    spark: SparkSession,
+    table: str,
+    path: str,
+    keys: Sequence[str],
+    slice_value: str | None = None,
+    drop_vanished: bool = False,
 ) -> int:
-    """Register the partitions that have files and are not in the catalog; gives their number.
+    """Register the partitions that have files and are not in the catalog; gives how many entries changed.
 
     With a value of the first key only that slice's folder is listed and
-    compared.  The driver holds one statement's worth of names at a time.
+    compared.  ``drop_vanished`` also takes entries without files out of the catalog.  The driver
+    holds one statement's worth of names at a time.
     """
     if slice_value is None:
         found, known = discovered_partitions(spark, path, keys), registered_partitions(spark, table)
     else:
         slice_name = f"{keys[0]}={slice_value}"
-        found = discovered_partitions(spark, join_path(path, slice_name), keys)
+        found = discovered_partitions(spark, join_path(path, slice_name), keys[1:]) if len(keys) > 1 else None
+        if found is None:
+            found = discovered_partitions(spark, path, keys).filter(F.col("partition") == slice_name)
+        else:
+            found = found.select(F.concat(F.lit(slice_name + "/"), "partition").alias("partition"))
         known = registered_partitions(spark, table, partition_clause(slice_name))
-    new = partition_diff(found, known).filter("state = 'new'").select("partition")
-    added = 0
-    for batch in batched(new.toLocalIterator(), ADD_AT_ONCE):
+    diff = partition_diff(found, known)
+    changed = 0
+    for batch in batched(diff.filter("state = 'new'").select("partition").toLocalIterator(), ADD_AT_ONCE):
         clauses = [
             f"PARTITION ({partition_clause(row.partition)}) LOCATION {literal(join_path(path, row.partition))}"
             for row in batch
         ]
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(clauses)}")
-        added += len(clauses)
+        changed += len(clauses)
+    if drop_vanished:
+        for batch in batched(diff.filter("state = 'vanished'").select("partition").toLocalIterator(), ADD_AT_ONCE):
+            clauses = [f"PARTITION ({partition_clause(row.partition)})" for row in batch]
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(clauses)}")
+            changed += len(clauses)
     spark.sql(f"REFRESH TABLE {table}")
-    return added
+    return changed

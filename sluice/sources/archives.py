@@ -94,11 +94,40 @@ def archive_problems(members: DataFrame, required: Sequence[str]) -> DataFrame:
 
 def check_archives(members: DataFrame, required: Sequence[str]) -> None:
     """Raise if any archive is unfit; names the first few and says how many there are."""
-    bad = archive_problems(members, required).withColumn("all", F.count("*").over(Window.partitionBy(F.lit(1))))
-    bad = bad.orderBy("archive").limit(10).collect()
+    problems = archive_problems(members, required)
+    bad = problems.orderBy("archive").limit(10).collect()
     if bad:
         named = "; ".join(f"{row.archive} {row.problem}" for row in bad)
-        raise ArchiveError(f"{named} ({len(bad)} of {bad[0]['all']} unfit archives)")
+        raise ArchiveError(f"{named} ({len(bad)} of {problems.count()} unfit archives)")
+
+
+#: Uncompressed bytes that one task reads, unless a single member has more.
+TASK_BYTES = 256 << 20
+
+
+def dealt_by_size(members: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Members over tasks by the bytes that will be read, known from the tables of contents.
+
+    Members are taken by size class (powers of two).  Each class has as many tasks as its bytes fill, and its
+    members go round among them, so tasks of a class differ by one member of about the same size; members from
+    ``task_bytes`` on have a task each.  The driver sees one row a class.
+    """
+    classed = members.withColumn("size_class", F.length(F.bin(F.col("bytes"))))
+    totals = classed.groupBy("size_class").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("members")).collect()
+    first, tasks = {}, 0
+    for row in sorted(totals, key=lambda r: r.size_class):
+        own = min(row.members, max(1, -(-row.bytes // task_bytes)))
+        first[row.size_class], tasks = (tasks, own), tasks + own
+    if tasks < 2:
+        return members.coalesce(1)
+    # Numbered within the listing's own tasks, which take turns at different places.
+    turn = Window.partitionBy("size_class", "listed_by").orderBy("archive", "member")
+    numbered = classed.withColumn("listed_by", F.spark_partition_id()).withColumn("turn", F.row_number().over(turn))
+    seat = F.col("turn") + F.pmod(F.xxhash64("listed_by"), F.lit(1 << 20))
+    task = F.lit(None).cast("int")
+    for size_class, (begin, own) in first.items():
+        task = F.when(F.col("size_class") == size_class, (F.lit(begin) + seat % own).cast("int")).otherwise(task)
+    return numbered.withColumn("task", task).repartitionById(tasks, "task").select(*members.columns)
 
 
 def read_archives(
@@ -151,10 +180,9 @@ def read_archives(
                         yield batch_of(row.archive, row.source_zip, number, texts)
 
     wanted = members.filter(F.lower("file_name") == file_name.lower())
-    # The tasks are those of the listing, which Spark filled by the bytes of the archives: a large
-    # archive has a task of its own.  The lines are then spread by their own address, so that a
-    # retry sends each one to the same place.
-    return wanted.select("archive", "source_zip", "member").mapInPandas(lines, LINE_SCHEMA).repartition("archive", "line_no")
+    # The lines are spread by their own address, so that a retry sends each one to the same place.
+    dealt = dealt_by_size(wanted.select("archive", "source_zip", "member", "bytes"))
+    return dealt.select("archive", "source_zip", "member").mapInPandas(lines, LINE_SCHEMA).repartition("archive", "line_no")
 
 
 def read_archived_csv(

@@ -8,15 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sluice.paths import join_path
+from sluice.sinks.swap import readable_folder
 from sluice.sources.schema import text_schema
 
 
-def join_path(*parts: str) -> str:
-    """Path parts with one slash between them."""
-    head, *tail = parts
-    return "/".join([head.rstrip("/"), *[p.strip("/") for p in tail if p]])
-
-
 def input_path(root: str, business_date: str) -> str:
     """Where the archive of a date lies; ``*`` stands for all dates."""
     return join_path(root, f"vehicle_health_{business_date.replace('-', '_')}.zip")
@@ -58,14 +54,15 @@ def read_slice(
     """One date of a published table.
 
     Only the folder of that date is listed, and partition values keep their
-    declared type instead of an inferred one.
+    declared type instead of an inferred one.  A slice whose publish stopped after its files were
+    complete is read from where these are.
     """
-    base = join_path(root, table)
-    return (
-        spark.read.schema(schema)
-        .option("basePath", base)
-        .parquet(join_path(base, f"business_date={business_date}"))
-    )
+    base, name = join_path(root, table), f"business_date={business_date}"
+    folder = readable_folder(spark, base, name)
+    if folder == join_path(base, name):
+        return spark.read.schema(schema).option("basePath", base).parquet(folder)
+    rows = spark.read.schema(StructType([f for f in schema.fields if f.name != "business_date"])).parquet(folder)
+    return rows.withColumn("business_date", F.lit(business_date)).select(*schema.names)
 
 
 def read_sales(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

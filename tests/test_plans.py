@@ -17,7 +17,7 @@ from verification import queries as q
 
 RUN_WHEN_CALLED = (
     "slice_counts count_delta slice_overwrite partition_diff register_partitions register_moved_root "
-    "write_modes warehouse_counts quality_listing"
+    "write_modes warehouse_counts quality_listing slice_failed_rewrite append_rerun partition_sync warehouse_resume"
 ).split()
 
 

@@ -565,6 +565,12 @@ def oracle() -> dict[str, str]:
             "unknown",
         ),
         "reject_envelope": statement(REJECTS, *ALL_EVALUATED, "unknown"),
+        "reject_raw_text": statement(
+            "select e.reject_reason, r.vin, r.event_timestamp, r.odometer_km, r.engine_temp_c, "
+            "r.oil_pressure_kpa, r.severity from ev_telemetry e join raw_telemetry r using (event_id, copy_no) "
+            "where e.reject_reason <> ''",
+            "ev_telemetry",
+        ),
         "unknown_vehicles": statement(f"select {TELEMETRY_OUT} from unknown", "unknown"),
         "latest_service": statement(
             "select vin, dealer_id, service_type, service_status, warranty_flag, service_duration_hours from latest",
@@ -619,6 +625,23 @@ def oracle() -> dict[str, str]:
             "select * from summary where severity in ('HIGH', 'CRITICAL')",
             "summary",
         ),
+        "slice_failed_rewrite": statement("select * from summary", "summary"),
+        "append_rerun": statement("select * from kpis union all select * from kpis", "kpis"),
+        "partition_sync": statement(
+            f"select * replace ('{EARLIER_DATE}' as business_date) from summary", "summary"
+        ),
+        "hot_vehicle_lookup": statement(
+            "select e.vin, count(*) as events, count(v.vin) as found from ev_telemetry e "
+            "left join vehicle v on e.vin = v.vin group by 1",
+            "ev_telemetry",
+            "vehicle",
+        ),
+        "warehouse_resume": statement(
+            table_counts(delta=False) + f" union all select 'data_quality_report', '{BUSINESS_DATE}', 16",
+            "enriched",
+            "summary",
+            "kpis",
+        ),
         "table_load": statement("select * from kpis", "kpis"),
         "partition_diff": statement(
             f"select distinct 'business_date={BUSINESS_DATE}/model=' || model as partition, "

@@ -8,7 +8,8 @@ from dataclasses import replace
 from datetime import datetime, timezone
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.context import Run, configure, scratch_root
@@ -29,7 +30,7 @@ from sluice.functions import (
 from sluice.operators import measures, quality
 from sluice.operators.cleaning import COPIES, nullify_strings
 from sluice.operators.dedupe import duplicate_keys
-from sluice.operators.joins import latest_service
+from sluice.operators.joins import latest_service, lookup
 from sluice.operators.rules import REASON, reason_counts, reason_list
 from sluice.plans.health import Curation, RawTables, run_health
 from sluice.plans.sales import run_sales
@@ -39,7 +40,9 @@ from sluice.plans.warehouse import (
     load_warehouse,
     staging_table,
 )
-from sluice.sinks.files import FORMAT_OPTIONS, publish
+from sluice.paths import join_path
+from sluice.sinks.files import FORMAT_OPTIONS, publish, remove_folder
+from sluice.sinks.loads import commit_load, finish_load, write_part
 from sluice.sinks.tables import (
     create_view,
     discovered_partitions,
@@ -55,7 +58,7 @@ from sluice.sinks.tables import (
     risk_view_sql,
 )
 from sluice.sources.archives import check_archives, list_members, read_archived_csv
-from sluice.sources.files import join_path, read_raw_csv, read_sales, read_slice
+from sluice.sources.files import read_raw_csv, read_sales, read_slice
 from verification.fixture_archives import write_archives
 from verification.oracle import BUSINESS_DATE, EARLIER_DATE, RUN_ID, RUN_TIME, SOURCE_ZIP
 from verification.views import ORDER_BY, RAW_VIEWS, TABLES
@@ -103,6 +106,11 @@ def curation(spark: SparkSession, sf_dir: str) -> Curation:
     return Curation(raw_tables(spark, sf_dir), RUN)
 
 
+def report(spark: SparkSession, sf_dir: str) -> Curation:
+    """For queries that ask several things of the same rows: what is shared is staged once."""
+    return Curation(raw_tables(spark, sf_dir), RUN, new_folder(spark, "report"))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder of its own for each call, on shared storage."""
     return join_path(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
@@ -226,6 +234,14 @@ def rejected(name: str) -> Query:
     return query
 
 
+def reject_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected telemetry with what its numbers and time were as text, also where that could not be read."""
+    c = replace(curation(spark, sf_dir), keep_raw=True)
+    raw = c.rejects.filter(F.col("dataset_name") == domain.TELEMETRY.name)
+    fields = ("vin", "event_timestamp", "odometer_km", "engine_temp_c", "oil_pressure_kpa", "severity")
+    return raw.select(REASON, *[F.get_json_object("raw_json", f"$.{c}").alias(c) for c in fields])
+
+
 def unknown_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation(spark, sf_dir).unknown.drop(*STAMPS)
 
@@ -284,38 +300,42 @@ def reject_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report as one lazy plan; the job builds it from counts it took while writing."""
-    c = curation(spark, sf_dir)
-    gate = quality.gate_metrics(c.enriched, domain.SEVERITIES, domain.EVENT_KEY)
-    match = quality.reconcile(c.enriched, c.daily_summary, "telemetry_event_count")
-    per_dataset = quality.union_all(dataset_counts(c))
-
-    def inputs(spec: domain.Dataset, alias: str):
-        return F.sum(F.when(F.col("dataset_name") == spec.name, F.col("input_rows"))).alias(alias)
-
-    counted = per_dataset.agg(
-        inputs(domain.TELEMETRY, "telemetry_input_rows"),
-        inputs(domain.SERVICE, "service_input_rows"),
-        inputs(domain.VEHICLES, "vehicle_master_input_rows"),
-        inputs(domain.DEALERS, "dealer_master_input_rows"),
-        F.sum(F.col("input_rows") - F.col("kept_rows")).alias("duplicates_dropped"),
-    )
-    total = quality.reject_rate(dataset_counts(c), c.unknown, JOB_REJECT_RATE).select("reject_rows")
-    info = [
-        counted,
-        gate.select(F.col("enriched_rows").alias("vehicle_health_enriched_rows")),
-        c.daily_summary.agg(F.count("*").alias("daily_summary_rows")),
-        c.service_kpis.agg(F.count("*").alias("service_summary_rows")),
-        total,
-    ]
-    return quality.union_all(
-        [
-            quality.long_form(gate.drop("enriched_rows"), "vehicle_health_enriched"),
-            quality.long_form(
-                match.select("summary_reconciliation_delta"), "daily_vehicle_health_summary"
+    """The report out of one row of counts, which one pass over each staged table gives."""
+    c = report(spark, sf_dir)
+    tables = {"service": c.service, "vehicle": c.vehicles, "dealer": c.dealers}
+    row = quality.one_row(
+        {
+            "event": quality.event_metrics(c.events, domain.SEVERITIES, domain.EVENT_KEY),
+            **{name: quality.curated_counts(t).drop("dataset_name") for name, t in tables.items()},
+            "summary": c.daily_summary.agg(
+                F.count("*").alias("rows"), F.sum("telemetry_event_count").alias("events")
             ),
-            *[quality.long_form(frame, "pipeline", "INFO") for frame in info],
-        ]
+            "kpi": c.service_kpis.agg(F.count("*").alias("rows")),
+        }
+    )
+
+    def total(metric: str) -> Column:
+        return sum((F.col(f"{name}_{metric}") for name in tables), F.col(f"event_{metric}"))
+
+    gate = (*quality.row_checks(domain.SEVERITIES), "duplicate_event_key")
+    delta = F.abs(F.col("event_enriched_rows") - F.col("summary_events"))
+    return quality.listed(
+        row,
+        {
+            "vehicle_health_enriched": {name: F.col(f"event_{name}") for name in gate},
+            "daily_vehicle_health_summary": {"summary_reconciliation_delta": delta},
+        },
+        {
+            "telemetry_input_rows": F.col("event_input_rows"),
+            "service_input_rows": F.col("service_input_rows"),
+            "vehicle_master_input_rows": F.col("vehicle_input_rows"),
+            "dealer_master_input_rows": F.col("dealer_input_rows"),
+            "duplicates_dropped": total("input_rows") - total("kept_rows"),
+            "vehicle_health_enriched_rows": F.col("event_enriched_rows"),
+            "daily_summary_rows": F.col("summary_rows"),
+            "service_summary_rows": F.col("kpi_rows"),
+            "reject_rows": total("reject_rows") + F.col("event_unknown_rows"),
+        },
     )
 
 
@@ -362,6 +382,28 @@ def slice_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.union_all(days)
 
 
+def slice_failed_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date is written, and a rewrite of it fails after it has written files: the date is as it was."""
+    root = new_folder(spark, "slices")
+    summary = curation(spark, sf_dir).daily_summary
+    publish(summary, root, SUMMARY, BUSINESS_DATE)
+    broken = F.when(F.col("severity") == "CRITICAL", F.raise_error("lost")).otherwise(F.col("severity"))
+    try:
+        publish(summary.withColumn("severity", broken.cast("string")), root, SUMMARY, BUSINESS_DATE)
+    except PySparkException:
+        pass
+    return read_slice(spark, root, SUMMARY.name, SUMMARY.schema, BUSINESS_DATE)
+
+
+def append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs append to a date, and the first one is repeated: each is there once."""
+    root = new_folder(spark, "modes")
+    kpis = curation(spark, sf_dir).service_kpis
+    for run_id in ("run-a", "run-b", "run-a"):
+        publish(kpis, root, KPIS, BUSINESS_DATE, "append", run_id=run_id)
+    return read_slice(spark, root, KPIS.name, KPIS.schema, BUSINESS_DATE)
+
+
 def published(spark: SparkSession, sf_dir: str) -> str:
     """The enriched rows and both summaries of the run's date, as files."""
     root = new_folder(spark, "published")
@@ -412,6 +454,42 @@ def count_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warehouse_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load is committed and stops before any table is swapped; what comes next ends it."""
+    root, target = health_run(spark, sf_dir), new_folder(spark, "warehouse")
+    slice_name, specs = f"business_date={BUSINESS_DATE}", [domain.OUTPUTS[n] for n in domain.ANALYTICS_TABLES]
+    parts = [
+        write_part(target, s.name, slice_name, read_slice(spark, root, s.name, s.schema, BUSINESS_DATE).drop("business_date"))
+        for s in specs
+    ]
+    commit_load(spark, target, slice_name, parts)
+    finish_load(spark, target, slice_name)
+    tables = {s.name: read_slice(spark, target, s.name, s.schema, BUSINESS_DATE) for s in specs}
+    return quality.slice_counts(tables, BUSINESS_DATE)
+
+
+def partition_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dates are registered, the folder of one goes: the catalog follows."""
+    root, database = new_folder(spark, "published"), new_database("partitions")
+    summary = curation(spark, sf_dir).daily_summary
+    path = join_path(root, SUMMARY.name)
+    table = ensure_table(spark, database, SUMMARY, path)
+    for day in (EARLIER_DATE, BUSINESS_DATE):
+        publish(summary.withColumn("business_date", F.lit(day)), root, SUMMARY, day)
+    register_partitions(spark, table, path, SUMMARY.partition_by)
+    remove_folder(spark, join_path(path, f"business_date={BUSINESS_DATE}"))
+    register_partitions(spark, table, path, SUMMARY.partition_by, drop_vanished=True)
+    return spark.table(table)
+
+
+def hot_vehicle_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events looked up by vehicle, where one vehicle has a third of them."""
+    c = curation(spark, sf_dir)
+    vehicles = c.vehicles.valid.select("vin", F.lit(1).alias("known"))
+    found = lookup(c.telemetry.evaluated.select("vin"), vehicles, "vin")
+    return found.groupBy("vin").agg(F.count("*").alias("events"), F.count("known").alias("found"))
+
+
 def view_risk_story(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, database = new_folder(spark, "published"), new_database("views")
     publish(curation(spark, sf_dir).daily_summary, root, SUMMARY, BUSINESS_DATE)
@@ -564,9 +642,11 @@ QUERIES: dict[str, Query] = {
     "reject_reasons_service": rejected("service"),
     "reject_reasons_vehicle": rejected("vehicles"),
     "reject_reasons_dealer": rejected("dealers"),
-    "reject_reason_counts": lambda spark, sf: reason_counts(curation(spark, sf).rejects),
-    "reject_envelope": lambda spark, sf: curation(spark, sf).rejects,
+    "reject_reason_counts": lambda spark, sf: reason_counts(report(spark, sf).rejects),
+    "reject_envelope": lambda spark, sf: report(spark, sf).rejects,
+    "reject_raw_text": reject_raw_text,
     "unknown_vehicles": unknown_vehicles,
+    "hot_vehicle_lookup": hot_vehicle_lookup,
     "latest_service": lambda spark, sf: latest_service(curation(spark, sf).service.valid),
     "enriched": lambda spark, sf: curation(spark, sf).enriched,
     "daily_summary": lambda spark, sf: curation(spark, sf).daily_summary,
@@ -585,11 +665,15 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "archive_ingest": archive_ingest,
     "slice_overwrite": slice_overwrite,
+    "slice_failed_rewrite": slice_failed_rewrite,
+    "append_rerun": append_rerun,
     "table_load": table_load,
+    "warehouse_resume": warehouse_resume,
     "view_risk_story": view_risk_story,
     "view_daily_revenue": view_daily_revenue,
     "partition_diff": partition_diff_query,
     "register_partitions": register_partitions_query,
+    "partition_sync": partition_sync,
     "register_moved_root": register_moved_root,
     "write_modes": write_modes,
     "health_job": health_job,

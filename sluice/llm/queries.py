@@ -112,8 +112,8 @@ with t as (
   select doc_id, text, crc32(cast(doc_id as string)) as h,
     filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as w
   from {docs}
-), p as (
-  select *, h div 10 % size(w) as a, 1 + (size(w) - h div 10 % size(w)) div (3 + h div 10 % 8) as p from t
+), n as (select *, greatest(size(w), 1) as n, h div 10 as g from t
+), p as (select *, g % n as a, 1 + (n - g % n) div (3 + g % 8) as p from n
 )
 select doc_id, case when h % 10 = 0 and size(w) > 0
   then array_join(transform(w, (x, i) -> case when i < a then x else w[int(a + (i - a) % p)] end), ' ')

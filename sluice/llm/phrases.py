@@ -48,8 +48,8 @@ COVERED = 50
 KEY_BITS = 48
 BITMAP_BITS = 28
 #: Bytes of text counted at a time, and entries a task gathers before it sends its summaries.
-CHUNK_BYTES = 2 << 20
-ENTRIES = 1 << 20
+CHUNK_BYTES = 1 << 20
+ENTRIES = 1 << 19
 #: Bytes of input for each hash partition, as a bound of what one merge has to hold.
 PARTITION_BYTES = 24 << 20
 

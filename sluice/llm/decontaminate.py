@@ -139,4 +139,6 @@ def drop_contaminated(
     found = _finds(spark, narrow, benchmark, "item_id", "text", CONTAINMENT)
     gone = staged(spark, found.select(F.col("doc_id").alias("gone_key")).distinct(), "contaminated")
     gone = _small(gone, BROADCAST_PAIRS)
-    return docs.join(gone, text_key(docs[text_col]) == F.col("gone_key"), "left_anti")
+    # The row stands in a struct, so that its columns may have any names.
+    held = docs.select(text_key(F.col(text_col)).alias("own_key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return held.join(gone, F.col("own_key") == F.col("gone_key"), "left_anti").select("row.*")

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import prepare, staged, text_key, texts_of
@@ -267,26 +267,18 @@ def near_dedup(
     )
 
 
-def keep_first(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component stays: the one with the smallest id.
-
-    Rows without an id stay.  Of rows that repeat that id one stays.
-    """
-    found = near_dedup(spark, docs, id_col, text_col)
-    found = staged(spark, found.filter("doc_id is not null").select("doc_id", "component_id"), "components")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
-    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    kept = docs.join(gone.distinct(), docs[id_col] == F.col("gone_id"), "left_anti")
-    return one_of_each(kept, id_col) if repeated.limit(1).count() else kept
-
-
-#: Near copies of the stage: shingles of so many words, and what two texts must share of all they have.
+#: Near copies of the stage: shingles of so many words, and the share of the words of each of two texts that must
+#: stand in shingles which the other has too.
 SIMILAR_WORDS = 5
-JACCARD = 0.8
-#: A band is so many smallest hashes; at 0.8 two texts miss each other in all bands once in 2,800 pairs.
-BANDS, BAND_ROWS = 20, 5
-#: Members up to which all of a bucket are compared; in larger ones each with the smallest and largest.
-ALL_PAIRS = 16
+COVERED = 0.8
+#: A band is so many smallest hashes.  Texts that share 0.4 of all their shingles miss each other in all bands once in
+#: 20 pairs, at 0.5 once in 400.  Pairs that agree in fewer smallest hashes than this share are not looked at further.
+BANDS, BAND_ROWS = 45, 3
+AGREED = 0.2
+#: Members up to which all of a bucket are paired at once; larger ones go by rounds.
+PAIRED = 16
+#: Pairs that a bucket of a round may add before its members are taken a few at a time.
+ROUND_PAIRS = 4096
 
 LETTERS = re.compile(r"[^\W_]+")
 _draws = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
@@ -294,40 +286,80 @@ _XORS, _FACTORS = _draws[0], _draws[1] | ONE
 
 
 def similar_shingles(text: bytes) -> np.ndarray:
-    """Sorted hashes of the different shingles of runs of letters and digits; a shorter text is one shingle."""
+    """Hashes of the shingles of runs of letters and digits, in order; a shorter text is one shingle."""
     parts = [w.encode() for w in LETTERS.findall(text.decode("utf-8", "replace").lower())]
     n = max(1, len(parts) - SIMILAR_WORDS + 1) if parts else 0
     hashed = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((hashed(b" ".join(parts[i : i + SIMILAR_WORDS]), SEED) for i in range(n)), np.uint64, n))
+    return np.fromiter((hashed(b" ".join(parts[i : i + SIMILAR_WORDS]), SEED) for i in range(n)), np.uint64, n)
 
 
-def bands(shingles: np.ndarray) -> list[int]:
-    """One number for each band of smallest hashes."""
+def covered(own: np.ndarray, other: np.ndarray) -> float:
+    """Share of the words of a text that stand in a shingle which the other has too; shingles in order."""
+    if not len(own) or not len(other):
+        return 0.0
+    shared = np.isin(own, other)
+    if len(own) == 1:  # one shingle, of five words or fewer
+        return float(shared[0])
+    words = np.zeros(len(own) + SIMILAR_WORDS - 1, bool)
+    for k in range(SIMILAR_WORDS):
+        words[k : k + len(own)] |= shared
+    return float(words.mean())
+
+
+def smallest(shingles: np.ndarray) -> np.ndarray:
+    """The smallest hash of a text's shingles under each draw."""
     low = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 512):
         low = np.minimum(low, ((shingles[at : at + 512, None] ^ _XORS) * _FACTORS).min(axis=0))
-    rows = low.reshape(BANDS, BAND_ROWS)
-    return [xxhash.xxh64_intdigest(row.tobytes(), seed=i) for i, row in enumerate(rows)]
+    return low
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def bands(low: np.ndarray) -> list[int]:
+    """One number for each band of smallest hashes."""
+    return [xxhash.xxh64_intdigest(row.tobytes(), seed=i) for i, row in enumerate(low.reshape(BANDS, BAND_ROWS))]
+
+
+SKETCHES = "doc_id long, own binary, fp long, sketch binary, bands array<long>"
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fingerprint, sketch and bands of each text; no sketch where there are no words.  Columns doc_id, text_key, text."""
     for batch in batches:
-        keys, found = [], []
-        for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+        fps, sketches, found, ends = [], [], [], [0]
+        for text in texts_of(batch.column(2)):
+            fps.append(fingerprint(text))
             shingles = similar_shingles(text)
             if len(shingles):
-                keys += [key] * BANDS
-                found += bands(shingles)
-        found = pa.array(np.array(found, np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([found, pa.array(keys, pa.binary())], names=["band", "own"])
+                low = smallest(shingles)
+                found += bands(low)
+            # Sixteen bits of each smallest hash do to tell strangers.
+            sketches.append((low >> np.uint64(48)).astype(np.uint16).tobytes() if len(shingles) else None)
+            ends.append(len(found))
+        flat = pa.array(np.array(found, np.uint64).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array(np.array(fps, np.uint64).view(np.int64)),
+                pa.array(sketches, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+            ],
+            names=["doc_id", "own", "fp", "sketch", "bands"],
+        )
+
+
+def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        one, two = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in batch.columns[4:6])
+        yield batch.select([0, 1, 2, 3]).filter(pa.array((one == two).mean(1) >= AGREED))
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = list(texts_of(batch.column(1)))
-        fps = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
-        sets = pa.array([similar_shingles(t).tobytes() for t in texts], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), sets], names=["own", "fp", "shingles"])
+        rows = pa.array([similar_shingles(t).tobytes() for t in texts_of(batch.column(1))], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), rows], names=["own", "shingles"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,62 +367,105 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         true = []
         for one, two in zip(batch.column(2), batch.column(3)):
             x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            true.append(both >= JACCARD * (len(x) + len(y) - both))
+            true.append(covered(x, y) >= COVERED and covered(y, x) >= COVERED)
         yield batch.select(["a", "b"]).filter(pa.array(true, pa.bool_()))
 
 
-def similar_links(spark: SparkSession, texts: DataFrame) -> DataFrame:
-    """Links a, b between fingerprints of texts (text_key, text) that are alike, each verified on all shingles."""
-    met = staged(spark, texts.mapInArrow(_bands, "band long, own binary").distinct(), "bands")
+def verified(spark: SparkSession, texts: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links a, b between fingerprints of the pairs own, other of texts that cover each other."""
+    one = sketches.select("own", F.col("fp").alias("a"), F.col("sketch").alias("x"))
+    two = sketches.select(F.col("own").alias("other"), F.col("fp").alias("b"), F.col("sketch").alias("y"))
+    met = pairs.distinct().join(one, "own").join(two, "other").filter("a <> b").select("own", "other", "a", "b", "x", "y")
+    near = staged(spark, met.mapInArrow(_promising, "own binary, other binary, a long, b long"), "promising")
+    needed = near.select("own").union(near.select("other")).distinct().withColumnRenamed("own", "needed")
+    chosen = texts.join(needed, F.col("text_key") == F.col("needed"), "left_semi").select("text_key", "text")
+    sets = staged(spark, chosen.mapInArrow(_shingled, "own binary, shingles binary").dropDuplicates(["own"]), "sets")
+    own = sets.select("own", F.col("shingles").alias("x"))
+    other = sets.select(F.col("own").alias("other"), F.col("shingles").alias("y"))
+    both = near.join(own, "own").join(other, "other").select("a", "b", "x", "y")
+    return staged(spark, both.mapInArrow(_similar, "a long, b long").distinct(), "similar")
+
+
+def crossing(shared: DataFrame, rooted: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """For large buckets whose members are in several components: members that are to be compared with all others.
+
+    A bucket's largest component needs no turn of its own: each pair across components has a member outside of it.
+    Members that had their turn in a bucket are not taken again.
+    """
+    alone = F.struct(F.col("fp").alias("doc_id"), F.lit(None).cast("binary").alias("text_key"))
+    comp = F.coalesce("low", alone)
+    placed = shared.join(rooted, "fp", "left").select("band", "n", "own", comp.alias("comp"))
+    sizes = placed.groupBy("band", "comp").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("band").agg(F.max(F.struct("size", "comp")).alias("main"), F.count("*").alias("comps"))
+    outside = placed.join(main.filter("comps > 1"), "band").filter(F.col("comp") != F.col("main.comp"))
+    if tried is not None:
+        outside = outside.join(tried, ["band", "own"], "left_anti")
+    turn = F.row_number().over(Window.partitionBy("band").orderBy("own"))
+    return outside.withColumn("turn", turn).filter(F.col("turn") <= F.greatest(F.lit(1), F.lit(ROUND_PAIRS) / F.col("n")))
+
+
+def similar_links(
+    spark: SparkSession, texts: DataFrame, sketched: DataFrame, nodes: DataFrame, edges: DataFrame
+) -> DataFrame:
+    """``edges`` and links between fingerprints of texts (text_key, text) that cover each other.
+
+    Small buckets are paired off.  In larger ones each member is compared with the first and the last one, and then, as long as the
+    members of a bucket stand in several components, those outside the largest one are compared with all members, some
+    in each round.  So no link that would join two components is passed over, and a large group of near copies, which is one
+    component after the first round, is not paired off.
+    """
+    sketches = sketched.filter("sketch is not null").select("own", "fp", "sketch", "bands").dropDuplicates(["own"])
+    sketches = staged(spark, sketches, "sketches")
+    met = sketches.select(F.explode("bands").alias("band"), "own", "fp")
     sizes = met.groupBy("band").agg(F.count("*").alias("n"), F.min("own").alias("first"), F.max("own").alias("last"))
     shared = staged(spark, met.join(sizes.filter("n > 1"), "band"), "shared")
-    few = shared.filter(F.col("n") <= ALL_PAIRS).select("band", "own")
+    few = shared.filter(F.col("n") <= PAIRED).select("band", "own")
     pairs = few.join(few.withColumnRenamed("own", "other"), "band").filter("own < other").select("own", "other")
-    many = shared.filter(F.col("n") > ALL_PAIRS)
+    many = shared.filter(F.col("n") > PAIRED)
     for end in ("first", "last"):
         pairs = pairs.union(many.filter(F.col("own") != F.col(end)).select("own", F.col(end).alias("other")))
-    pairs = staged(spark, pairs.distinct(), "alike")
-    needed = pairs.select("own").union(pairs.select("other")).distinct()
-    chosen = texts.join(needed.withColumnRenamed("own", "needed"), F.col("text_key") == F.col("needed"), "left_semi")
-    sets = staged(spark, chosen.dropDuplicates(["text_key"]).mapInArrow(_shingled, "own binary, fp long, shingles binary"), "sets")
-    one = sets.select("own", F.col("fp").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("own").alias("other"), F.col("fp").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(one, "own").join(two, "other").filter("a <> b").select("a", "b", "x", "y")
-    return both.mapInArrow(_similar, "a long, b long").distinct()
+    edges = edges.union(verified(spark, texts, sketches, pairs)).distinct()
+    many = staged(spark, many.select("band", "n", "own", "fp"), "many")
+    if not many.limit(1).count():
+        return edges
+    tried = None
+    while True:
+        edges = staged(spark, edges, "links")
+        turns = staged(spark, crossing(many, connected(spark, nodes, edges), tried), "turns")
+        if not turns.limit(1).count():
+            return edges
+        others = many.select("band", F.col("own").alias("other"))
+        pairs = turns.select("band", "own").join(others, "band").filter("own <> other")
+        pairs = pairs.select(F.least("own", "other").alias("own"), F.greatest("own", "other").alias("other"))
+        edges = edges.union(verified(spark, texts, sketches, pairs)).distinct()
+        now = turns.select("band", "own")
+        tried = staged(spark, now if tried is None else tried.union(now), "tried")
 
 
 def keep_first_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component stays: the one with the smallest id, no id last, and then text key.
 
-    Linked are fingerprints in reach, and texts that share enough of their shingles of five words.
+    Linked are fingerprints in reach, and texts of which enough words stand in shingles of five words that both have.
 
     Each row has its own decision, also where an id is null or stands on several texts.
     """
     prepare(spark)
     own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     narrow = docs.select(own_id.alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("text_key"))
-    prints = narrow.mapInArrow(_prints(SHINGLE_WORDS), "doc_id long, fp long, text_key binary")
-    prints = staged(spark, prints, "prints")
+    sketched = staged(spark, narrow.select("doc_id", "text_key", "text").mapInArrow(_sketched, SKETCHES), "sketched")
+    prints = sketched.select("doc_id", "fp", F.col("own").alias("text_key"))
     nodes = staged(spark, prints.groupBy("fp").agg(F.min(F.struct("doc_id", "text_key")).alias("low")), "nodes")
-    edges = near_links(nodes).union(similar_links(spark, narrow.select("text_key", "text"))).distinct()
+    edges = similar_links(spark, narrow.select("text_key", "text"), sketched, nodes, near_links(nodes))
     rooted = connected(spark, nodes, staged(spark, edges, "links")).withColumnRenamed("low", "root")
     roots = nodes.join(rooted, "fp", "left").select("fp", F.coalesce("root", "low").alias("root"))
     later = prints.join(staged(spark, roots, "roots"), "fp").filter(F.struct("doc_id", "text_key") != F.col("root"))
     gone = later.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
     gone = staged(spark, gone, "gone")
-    own = (own_id == F.col("gone_id")) & (text_key(F.col(text_col)) == F.col("gone_key"))
-    kept = docs.join(gone, own, "left_anti")
-    if not prints.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count():
-        return kept
+    # The row stands in a struct, so that its columns may have any names.
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    held = kept.select(own_id.alias("one_id"), text_key(F.col(text_col)).alias("one_key"), row)
-    return held.groupBy("one_id", "one_key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
-
-
-def one_of_each(docs: DataFrame, id_col: str) -> DataFrame:
-    """One row for each id, the smallest by its JSON form; rows without an id all stay."""
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    held = docs.select(F.col(id_col).alias("one_id"), row.alias("row"))
-    with_id = held.filter("one_id is not null").groupBy("one_id").agg(F.min_by("row", F.to_json("row")).alias("row"))
-    return with_id.select("row.*").unionByName(held.filter("one_id is null").select("row.*"))
+    held = docs.select(own_id.alias("one_id"), text_key(F.col(text_col)).alias("one_key"), row)
+    own = (F.col("one_id") == F.col("gone_id")) & (F.col("one_key") == F.col("gone_key"))
+    kept = held.join(gone, own, "left_anti")
+    if prints.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count():
+        kept = kept.groupBy("one_id", "one_key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return kept.select("row.*")

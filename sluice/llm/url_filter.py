@@ -98,7 +98,10 @@ def filter_urls(
     time_col: str = "fetched_at",
     days: int = BUCKET_DAYS,
 ) -> DataFrame:
-    """All rows and columns of ``captures``, with a struct ``verdict`` of the entry that blocks, or null."""
+    """All rows and columns of ``captures``, with a struct ``verdict`` of the entry that blocks, or null.
+
+    A column of that name which ``captures`` has already gives way.
+    """
     prepare(spark)
     row = F.struct(*(F.col(f"`{c}`") for c in captures.columns))
     held = captures.select(F.col(url_col).alias("url"), F.col(time_col).alias("at"), row.alias("row"))
@@ -131,4 +134,5 @@ def filter_urls(
         F.struct("best.list_name", "best.kind", "best.value", "best.since").alias("verdict"),
     )
     same = (F.col("url") == F.col("hit_url")) & (F.col("at") == F.col("hit_at"))
-    return held.join(verdict, same, "left").select("row.*", "verdict")
+    others = [F.col("row").getField(c).alias(c) for c in captures.columns if c.lower() != "verdict"]
+    return held.join(verdict, same, "left").select(*others, "verdict")

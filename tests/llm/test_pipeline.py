@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 import __spark_entry__ as entry
 from sluice.llm import queries
@@ -47,3 +50,24 @@ def test_rows_without_id_and_of_one_id_have_their_own_decisions(spark, make, pro
     docs = make(trusted + [(None, bad), (None, trusted[3][1]), (500, bad), (500, trusted[3][1])])
     kept = [(r.doc_id, r.text) for r in keep_good(spark, docs, labels).collect() if r.doc_id is None or r.doc_id == 500]
     assert sorted(kept, key=repr) == sorted([(None, trusted[3][1]), (500, trusted[3][1])], key=repr)
+
+
+CLASHING = ("gone_id", "gone_key", "gone_lang", "one_id", "one_key", "own_id", "own_key", "own_lang", "row", "text_key", "needed", "fp")
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_let_columns_have_any_name(spark, name, tmp_path):
+    base = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)[name]
+    extra = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHING)])
+    kept = stage(spark, extra, base)
+    assert kept.columns == extra.columns
+    ids = sorted(r.doc_id for r in kept.select("doc_id").collect())
+    assert ids == sorted(r.doc_id for r in stage(spark, docs, base).select("doc_id").collect())
+
+
+def test_packing_lets_columns_have_any_name(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20)
+    extra = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHING)])
+    assert corpus_pipeline.packing(spark, extra, "").count() == corpus_pipeline.packing(spark, docs, "").count()

@@ -92,10 +92,11 @@ def test_stage_keeps_one_of_each(spark, make, prose):
     base = prose(5, 400)
     rows = [(3, base), (1, base), (1, base), (2, prose(6, 300)), (None, base), (9, None)]
     docs = make(rows).withColumnRenamed("source", "component_id")
-    kept = sh.keep_first(spark, docs)
+    kept = sh.keep_first_rows(spark, docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 2, 9, None], key=repr)
-    assert sh.keep_first(spark, docs.limit(0)).count() == 0
+    # A row without an id comes after those with one.
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 9]
+    assert sh.keep_first_rows(spark, docs.limit(0)).count() == 0
 
 
 def test_rows_out_of_reach_that_share_most_shingles_are_one(spark, make, prose):
@@ -103,8 +104,70 @@ def test_rows_out_of_reach_that_share_most_shingles_are_one(spark, make, prose):
     near = [*base]
     near[40] = near[150] = near[151] = near[260] = "changed"
     far = [*base]
-    far[10::12] = ["changed"] * len(far[10::12])
+    far[10::5] = ["changed"] * len(far[10::5])
     rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (4, prose(8, 300)), (5, "two words"), (6, "two  more")]
     a, b = (sh.fingerprint(t.encode()) for _, t in rows[:2])
     assert bin(a ^ b).count("1") > sh.RADIUS
     assert sorted(r.doc_id for r in sh.keep_first_rows(spark, make(rows)).collect()) == [1, 3, 4, 5, 6]
+
+
+def brute_kept(rows):
+    """Ids that stay: all pairs compared by fingerprint and by covered words."""
+    prints = [sh.fingerprint((t or "").encode()) for _, t in rows]
+    seqs = [sh.similar_shingles((t or "").encode()) for _, t in rows]
+    top = list(range(len(rows)))
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            near = bin(prints[i] ^ prints[j]).count("1") <= sh.RADIUS
+            if near or min(sh.covered(seqs[i], seqs[j]), sh.covered(seqs[j], seqs[i])) >= sh.COVERED:
+                top[root(i)] = root(j)
+    low = {}
+    for i, (doc_id, _) in enumerate(rows):
+        low[root(i)] = min(low.get(root(i), doc_id), doc_id)
+    return sorted(low.values())
+
+
+def changed(text, seed, share):
+    r = random.Random(seed)
+    return " ".join(f"w{r.randrange(10**6)}" if r.random() < share else w for w in text.split())
+
+
+def test_large_buckets_lose_no_link(spark, make, prose, monkeypatch):
+    """Families of over 100 texts in one bucket, some near enough and some not, and two that share half of their words."""
+    monkeypatch.setattr(sh, "PAIRED", 4)
+    monkeypatch.setattr(sh, "ROUND_PAIRS", 64)
+    half = prose(1, 120)
+    rows = [(i, changed(half + " " + prose(2, 120), i, 0.02)) for i in range(110)]
+    rows += [(200 + i, changed(half + " " + prose(3, 120), i, 0.05)) for i in range(25)]
+    rows += [(300 + i, prose(50 + i, 80)) for i in range(20)]
+    # Each of a chain is near the next one only.
+    text = prose(4, 200)
+    for i in range(10):
+        rows.append((400 + i, text))
+        text = changed(text, 1000 + i, 0.03)
+    kept = sorted(r.doc_id for r in sh.keep_first_rows(spark, make(rows)).collect())
+    want = brute_kept(rows)
+    assert kept == want and len(want) < 60
+
+
+def test_given_documents_lose_their_near_copies(spark, documents):
+    rows = [(r.doc_id, r.text) for r in documents.filter("n_chars < 8000").collect()]
+    kept = sorted(r.doc_id for r in sh.keep_first_rows(spark, documents.filter("n_chars < 8000")).collect())
+    assert kept == brute_kept(rows)
+
+
+def test_covered_words():
+    def of(text):
+        return sh.similar_shingles(text.encode())
+
+    text = " ".join(f"w{i}" for i in range(20))
+    assert sh.covered(of(text), of(text)) == 1.0
+    assert sh.covered(of(text), of("w0 w1 w2 w3 w4 w5 x")) == 6 / 20
+    assert sh.covered(of("a b"), of("A, b!")) == 1.0 and sh.covered(of("a b"), of("a c")) == 0.0
+    assert sh.covered(of(""), of("a")) == 0.0 and len(of("...")) == 0

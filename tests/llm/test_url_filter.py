@@ -97,3 +97,11 @@ def test_intervals_across_buckets(spark):
     found = sorted((r.since, r.until) for r in uf.intervals(spark.createDataFrame(rows, ENTRIES)).collect())
     at = [DAY0 + timedelta(days=d) for d in days]
     assert found == [(at[0], at[1]), (at[2], at[3]), (at[4], at[5])]
+
+
+def test_a_column_called_verdict_gives_way(spark):
+    captures = spark.createDataFrame([(1, "http://a.b/x", DAY0, "mine")], CAPTURES).withColumnRenamed("verdict_note", "Verdict")
+    entries = spark.createDataFrame([("l", "host", "a.b", "block", DAY0)], ENTRIES)
+    found = uf.filter_urls(spark, captures, entries)
+    assert found.columns == ["page_id", "url", "fetched_at", "verdict"]
+    assert found.first().verdict.value == "a.b"

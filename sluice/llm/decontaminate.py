@@ -89,9 +89,16 @@ def contaminated(
     item_text_col: str = "text",
     containment: float = CONTAINMENT,
 ) -> DataFrame:
-    """doc_id, item_id, matched, item_shingles, containment for every find."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), words_of(F.col(text_col)).alias("words"))
-    return _finds(spark, narrow, benchmark, item_col, item_text_col, containment)
+    """doc_id, item_id, matched, item_shingles, containment for every find.
+
+    Each text without an id is a document of its own; texts of one id are one document.
+    """
+    own_id = F.col(id_col).cast("long")
+    # Only rows without an id need their text to be told apart.
+    key = F.struct(own_id.alias("id"), F.when(own_id.isNull(), text_key(F.col(text_col))).alias("text_key"))
+    narrow = docs.select(key.alias("doc_id"), words_of(F.col(text_col)).alias("words"))
+    found = _finds(spark, narrow, benchmark, item_col, item_text_col, containment)
+    return found.withColumn("doc_id", F.col("doc_id.id"))
 
 
 def _finds(

@@ -20,7 +20,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import prepare, staged, texts_of
@@ -75,8 +75,12 @@ def shared_prefix(label: bytes, key: bytes, at: int) -> int:
     return low
 
 
+#: What a node takes beside its label, about.
+NODE_BYTES = 200
+
+
 class PatriciaTrie:
-    """A compressed radix trie over byte strings."""
+    """A compressed radix trie over byte strings; ``size`` is the bytes of its labels and nodes."""
 
     def __init__(self) -> None:
         self.root, self.size = Node(b""), 0
@@ -87,7 +91,7 @@ class PatriciaTrie:
             child = node.kids.get(key[at])
             if child is None:
                 child = node.kids[key[at]] = Node(key[at:])
-                self.size += len(child.label) + 200
+                self.size += len(child.label) + NODE_BYTES
                 at = len(key)
             elif key.startswith(child.label, at):
                 at += len(child.label)
@@ -95,6 +99,7 @@ class PatriciaTrie:
                 n = shared_prefix(child.label, key, at)
                 upper = Node(child.label[:n])
                 child.label = child.label[n:]
+                self.size += NODE_BYTES
                 upper.kids[child.label[0]] = child
                 node.kids[key[at]] = child = upper
                 at += n
@@ -107,17 +112,18 @@ class PatriciaTrie:
     def drain(self, but: tuple | None = None) -> Iterator[tuple[bytes, Owner]]:
         """Give out and drop the subtrees under the root that hold no text of run ``but``."""
         for first, child in [*self.root.kids.items()]:
-            found, stack, stays = [], [(b"", child)], False
+            found, stack, stays, held = [], [(b"", child)], False, 0
             while stack:
                 above, node = stack.pop()
                 path = above + node.label
+                held += len(node.label) + NODE_BYTES
                 if node.owner is not None:
                     found.append((path, node.owner))
                     stays |= node.owner.run == but
                 stack.extend((path, kid) for kid in node.kids.values())
             if not stays:
                 del self.root.kids[first]
-                self.size -= sum(len(path) for path, _ in found)
+                self.size -= held
                 yield from found
         if self.root.owner is not None and self.root.owner.run != but:
             yield b"", self.root.owner
@@ -236,17 +242,20 @@ def exact_dedup(
     prepare(spark)
     own = staged(spark, owners(docs, id_col, text_col, trie_bytes), "owners")
     digests = _narrow(docs, id_col, text_col).mapInArrow(_digest, DIGESTS)
-    joined = digests.join(
-        own.select("text_sha256", "keep_id", "group_size", F.col("points").alias("most")), "text_sha256"
-    )
-    # Rows repeated with their id are told apart by their number.  The digest is
-    # hashed once more so that Spark deals these rows anew, after the skewed join.
-    again = Window.partitionBy("doc_id", F.xxhash64("text_sha256")).orderBy(F.desc("points"))
-    return joined.withColumn("nth", F.row_number().over(again)).select(
+    digests = staged(spark, digests.withColumn("row_no", F.monotonically_increasing_id()), "digests")
+    joined = digests.join(own.select("text_sha256", "keep_id", "group_size"), "text_sha256")
+    # Rows repeated with their id are told apart by their number, the longest text first.  Summed before the
+    # shuffle, so that any number of equal rows, with or without an id, is one row a task.
+    one = F.min(F.struct((-F.col("points")).alias("back"), "row_no")).alias("one")
+    several = digests.groupBy(F.col("doc_id").alias("same_id"), F.col("text_sha256").alias("same_text")).agg(one, F.count("*").alias("n"))
+    several = several.filter("n > 1").select("same_id", "same_text", F.col("one.row_no").alias("one_no"))
+    same = F.col("doc_id").eqNullSafe(F.col("same_id")) & (F.col("text_sha256") == F.col("same_text"))
+    first = F.col("one_no").isNull() | (F.col("one_no") == F.col("row_no"))
+    return joined.join(several, same, "left").select(
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
+        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).alias("kept"),
         F.lower(F.hex("text_sha256")).alias("text_sha256"),
     )
 
@@ -270,6 +279,6 @@ def keep_owners(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     same = keyed["doc_id"].eqNullSafe(winners["doc_id"]) & (keyed["text_sha256"] == winners["text_sha256"])
     kept = keyed.join(winners, same & (F.char_length(keyed["text"]) == winners["most"])).drop("text")
     if own.filter("copies > 1").limit(1).count():
-        again = Window.partitionBy(keyed["doc_id"], F.xxhash64(keyed["text_sha256"])).orderBy("copies")
-        kept = kept.withColumn("nth", F.row_number().over(again)).filter("nth = 1")
+        held = kept.select(keyed["doc_id"].alias("one_id"), keyed["text_sha256"].alias("one_text"), "row")
+        kept = held.groupBy("one_id", "one_text").agg(F.min_by("row", F.to_json("row")).alias("row"))
     return kept.select("row.*")

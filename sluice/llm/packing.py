@@ -280,9 +280,11 @@ def pack_documents(
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    tokens = staged(spark, narrow.mapInArrow(_tokenize(tokenizer), TOKENS), "tokens")
+    # Numbered, so that rows which are equal in all else are cut into ranges too.
+    tokens = narrow.mapInArrow(_tokenize(tokenizer), TOKENS).withColumn("row_no", F.monotonically_increasing_id())
+    tokens = staged(spark, tokens, "tokens")
     total = tokens.agg(F.sum("doc_tokens")).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_tokens))
     order = ["curve", F.xxhash64("doc_id"), "doc_id", "doc_tokens"]
-    ranged = tokens.repartitionByRange(ranges, *order).sortWithinPartitions(*order, F.xxhash64("ids"))
+    ranged = tokens.repartitionByRange(ranges, *order, "row_no").sortWithinPartitions(*order, F.xxhash64("ids"), "row_no")
     return ranged.select("doc_id", "ids").mapInArrow(_pack(encoder(tokenizer).wide), PIECES)

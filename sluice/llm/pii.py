@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import prepare
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
 
@@ -298,6 +300,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts and digest of the plain finds, all finds, and how many the transducers added."""
+    prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(
         _find,

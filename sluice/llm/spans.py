@@ -17,7 +17,8 @@ Sentences end at ``.``, ``!`` or ``?`` before white space, and at line ends; the
 compared in lower case with single spaces.  Offsets are code points, ends exclusive.
 
 Defined results: null and empty texts have no sentences; rows without an id cannot be reported
-and are left alone; rows repeated with their id are one document; an empty table gives no rows.
+and are left alone; rows repeated with their id are one document; where an id stands on several texts, each of
+them is a document of its own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ NEAR = 4
 LONGEST = 40
 
 GAP = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
-SPANS = "doc_id long, start int, end int, h1 long, h2 long"
+SPANS = "doc_id long, text_key long, start int, end int, h1 long, h2 long"
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -128,10 +129,11 @@ def runs(text: str, run: int, least_words: int, growing: bool = False) -> Iterat
 def _spans(run: int, least_words: int, growing: bool):
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, starts, ends, digests = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, keys, starts, ends, digests = [], [], [], [], []
+            for doc_id, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 for start, end, words in runs(text or "", run, least_words, growing):
                     ids.append(doc_id)
+                    keys.append(key)
                     starts.append(start)
                     ends.append(end)
                     digests.append(xxhash.xxh3_128_digest(words))
@@ -139,12 +141,13 @@ def _spans(run: int, least_words: int, growing: bool):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
+                    pa.array(keys, pa.int64()),
                     pa.array(starts, pa.int32()),
                     pa.array(ends, pa.int32()),
                     pa.array(both[:, 0].copy()),
                     pa.array(both[:, 1].copy()),
                 ],
-                names=["doc_id", "start", "end", "h1", "h2"],
+                names=["doc_id", "text_key", "start", "end", "h1", "h2"],
             )
 
     return spans
@@ -165,16 +168,25 @@ def merged(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [
-            (doc_id, *span)
-            for doc_id, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            (doc_id, key, *span)
+            for doc_id, key, found in zip(*(batch.column(i).to_pylist() for i in range(3)))
             for span in merged([(f["start"], f["end"], f["first_id"]) for f in found])
         ]
-        columns = zip(*rows) if rows else [[]] * 4
+        columns = zip(*rows) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "end", "first_id"]
+            [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "text_key", "start", "end", "first_id"]
         )
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_key and text of the rows with an id.  The key tells the texts of one id apart; it is 0 where no id repeats."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = narrow.filter("doc_id is not null")
+    repeats = narrow.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
+    key = F.xxhash64(F.coalesce("text", F.lit(""))) if repeats else F.lit(0).cast("long")
+    return narrow.select("doc_id", key.alias("text_key"), "text")
+
+
 def repeated_spans(
     spark: SparkSession,
     docs: DataFrame,
@@ -184,21 +196,28 @@ def repeated_spans(
     least_words: int = LEAST_WORDS,
     growing: bool = False,
 ) -> DataFrame:
-    """doc_id, start, end of what is removed, and first_id, a document where some of it stays."""
+    """doc_id, start, end of what is removed, and first_id, a document where some of it stays.
+
+    Where an id stands on several texts its rows are those of each of them.
+    """
     prepare(spark)
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    narrow = narrow.filter("doc_id is not null")
-    spans = staged(spark, narrow.mapInArrow(_spans(run, least_words, growing), SPANS), "spans")
+    return _repeated(spark, _keyed(docs, id_col, text_col), run, least_words, growing).drop("text_key")
+
+
+def _repeated(spark: SparkSession, keyed: DataFrame, run: int, least_words: int, growing: bool) -> DataFrame:
+    spans = staged(spark, keyed.mapInArrow(_spans(run, least_words, growing), SPANS), "spans")
     first = (
         spans.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
+        .agg(F.min(F.struct("doc_id", "text_key", "start")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("h1", "h2", F.col("first.doc_id").alias("first_id"), F.col("first.start").alias("first_start"))
+        .select("h1", "h2", "first")
     )
     first = staged(spark, first, "repeated")
-    later = spans.join(first, ["h1", "h2"]).filter("doc_id <> first_id or start <> first_start")
-    found = later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end", "first_id")).alias("found"))
-    return found.mapInArrow(_merge, "doc_id long, start long, end long, first_id long")
+    later = spans.join(first, ["h1", "h2"]).filter(F.struct("doc_id", "text_key", "start") != F.col("first"))
+    found = later.groupBy("doc_id", "text_key").agg(
+        F.collect_set(F.struct("start", "end", F.col("first.doc_id").alias("first_id"))).alias("found")
+    )
+    return found.mapInArrow(_merge, "doc_id long, text_key long, start long, end long, first_id long")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,12 +236,21 @@ def remove_repeats(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters: int
 ) -> DataFrame:
     """``docs`` with the repeated sentences cut out of the text; all rows and columns stay."""
-    found = repeated_spans(spark, docs, id_col, text_col, **parameters)
-    found = found.groupBy(F.col("doc_id").alias("cut_id")).agg(F.collect_list(F.struct("start", "end")).alias("cut_spans"))
+    prepare(spark)
+    settings = {"run": RUN, "least_words": LEAST_WORDS, "growing": False} | parameters
+    found = _repeated(spark, _keyed(docs, id_col, text_col), **settings)
+    found = found.groupBy(F.col("doc_id").alias("cut_id"), F.col("text_key").alias("cut_key")).agg(
+        F.collect_list(F.struct("start", "end")).alias("cut_spans")
+    )
     found = staged(spark, found, "cuts")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    held = docs.select(F.col(id_col).cast("long").alias("own_id"), F.col(text_col).alias("text"), row.alias("row"))
-    joined = held.join(found, F.col("own_id") == F.col("cut_id"), "left").select("text", "cut_spans", "row")
+    own_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    held = docs.select(
+        F.col(id_col).cast("long").alias("own_id"), own_key.alias("own_key"), F.col(text_col).alias("text"), row.alias("row")
+    )
+    # A key of 0 stands for whatever text an id has.
+    own = (F.col("own_id") == F.col("cut_id")) & F.col("cut_key").isin(0, F.col("own_key"))
+    joined = held.join(found, own, "left").select("text", "cut_spans", "row")
     kind = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
     cut = joined.mapInArrow(_cut, f"text string, row {kind}")
     return cut.select(F.col("row").withField(text_col, F.col("text")).alias("row")).select("row.*")

@@ -78,3 +78,11 @@ def test_empty(spark, make):
     assert dc.contaminated(spark, docs, bench).count() == 0
     assert dc.drop_contaminated(spark, docs, bench).count() == 1
     assert dc.contaminated(spark, docs.limit(0), bench).count() == 0
+
+
+def test_each_text_without_id_is_told_by_itself(spark, make, prose):
+    item = prose(1, 40)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    words = item.split()
+    rows = [(None, "x " + item), (None, item + " y"), (None, " ".join(words[:20])), (None, " ".join(words[20:])), (None, "x " + item)]
+    assert [r[:2] for r in got(dc.contaminated(spark, make(rows), bench))] == [(None, 1)] * 2

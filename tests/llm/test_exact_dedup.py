@@ -74,3 +74,32 @@ def test_trie_against_a_dictionary():
     found = {k: (o.doc_id, o.rows) for k, o in trie.drain()}
     assert found == {k: (min(v), len(v)) for k, v in own.items()}
     assert not trie.root.kids and trie.size == 0
+
+
+def test_a_trie_counts_what_it_holds():
+    def held(trie):
+        stack, size = [*trie.root.kids.values()], 0
+        while stack:
+            node = stack.pop()
+            size += len(node.label) + ed.NODE_BYTES
+            stack += node.kids.values()
+        return size
+
+    r = random.Random(4)
+    trie = ed.PatriciaTrie()
+    for i in range(1000):
+        key = b"p" * 5000 + b"%d" % i if i % 2 else bytes(r.choice(b"abc") for _ in range(r.randint(1, 9)))
+        trie.insert(key, ed.Owner(len(key), i, 1, 1, (i % 7,)))
+        assert trie.size == held(trie)
+    list(trie.drain((3,)))
+    assert trie.size == held(trie) > 0
+    list(trie.drain())
+    assert trie.size == 0
+
+
+def test_many_equal_rows_without_id(spark, make):
+    rows = [(None, "same text")] * 400 + [(None, "same  text")] * 30 + [(None, None)] * 200 + [(3, "other")]
+    docs = make(rows, 4)
+    found = ed.exact_dedup(spark, docs).collect()
+    assert sum(r.kept for r in found) == 3 and len(found) == len(rows)
+    assert sorted(len(r.text or "") for r in ed.keep_owners(spark, docs).collect()) == [0, 5, 10]

@@ -1,6 +1,8 @@
 import random
 import re
 
+import xxhash
+
 from sluice.llm import spans as sp
 
 
@@ -120,3 +122,67 @@ def test_grown_runs_are_the_shortest():
         if len(sizes) == 1 and sizes[0] >= 10:
             want = {(0, 1)}
         assert sp.grown(sizes, 2, 10) == want
+
+
+def brute_pieces(text, a, b, least):
+    """A long sentence cut after words whose pair hash is the smallest of its neighbours."""
+    places = [(a + m.start(), a + m.end()) for m in re.finditer(r"\S+", text[a:b])]
+    words = [text[x:y].lower() for x, y in places]
+    value = [xxhash.xxh64_intdigest(f"{x} {y}".encode()) for x, y in zip(words, words[1:])]
+    cuts = []
+    for i in range(4, len(value) - 4):
+        if all(value[i] < v for v in value[i - 4 : i]) and all(value[i] <= v for v in value[i + 1 : i + 5]):
+            cuts.append(i + 1)
+    cuts = cuts or [len(places) // 2]
+    out, at = [], 0
+    for cut in [*cuts, len(places)]:
+        step = least if cut - at > 40 else cut - at
+        while at < cut:
+            out.append((places[at][0], places[min(at + step, cut) - 1][1]))
+            at = min(at + step, cut)
+    return out
+
+
+def brute_growing(docs, run=2, least=10):
+    """Characters to remove where runs grow, from all shortest runs of all documents in order."""
+    seen, gone = {}, {}
+    for i, text in sorted((d for d in docs if d[0] is not None), key=lambda d: d[0]):
+        text, own = text or "", []
+        for a, b in brute_sentences(text):
+            own += brute_pieces(text, a, b, least) if len(text[a:b].split()) >= 2 * least else [(a, b)]
+        words = [text[a:b].lower().split() for a, b in own]
+        spans = set()
+        for x in range(len(own)):  # from each sentence on
+            y = next((y for y in range(x + run, len(own) + 1) if sum(map(len, words[x:y])) >= least), None)
+            spans |= {(x, y)} if y else set()
+        for y in range(run, len(own) + 1):  # and up to each
+            x = next((x for x in range(y - run, -1, -1) if sum(map(len, words[x:y])) >= least), None)
+            spans |= {(x, y)} if x is not None else set()
+        if 0 < len(own) < run and sum(map(len, words)) >= least:
+            spans = {(0, len(own))}
+        for x, y in sorted(spans, key=lambda s: own[s[0]][0]):
+            key = str(words[x:y])
+            if seen.setdefault(key, (i, own[x][0])) != (i, own[x][0]):
+                gone.setdefault(i, set()).update(range(own[x][0], own[y - 1][1]))
+    return gone
+
+
+def test_growing_runs_against_brute_force(spark, documents, make, prose):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert covered(spark, documents) == brute_growing(rows)
+    a = prose(1, 60)
+    odd = [(1, a), (2, "Own. " + a.upper()), (3, None), (4, ""), (5, "Yes. No. " * 30), (6, prose(2, 500).replace(".", "")), (7, prose(2, 500).replace(".", ""))]
+    assert covered(spark, make(odd)) == brute_growing(odd)
+
+
+def test_an_id_on_several_texts(spark, make, prose):
+    """Each text loses its own repeats, and none by the offsets of another one."""
+    a, b, c = prose(1, 40), prose(2, 40), prose(3, 40)
+    rows = [(1, a), (2, "Start here now. " + a), (2, b), (2, b), (3, c + " " + a), (3, c)]
+    cut = sorted(((r.doc_id, r.text) for r in sp.remove_repeats(spark, make(rows), growing=True).collect()))
+    kept = {(1, a), (2, b)}
+    assert kept <= set(cut) and len(cut) == len(rows) and cut.count((2, b)) == 2
+    rest = [(i, t) for i, t in cut if (i, t) not in kept]
+    assert all(a not in t for _, t in rest)
+    # One of the two texts of id 3 keeps what both have.
+    assert sum(c in t for i, t in rest if i == 3) == 1

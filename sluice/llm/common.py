@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,13 +28,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_folder: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """One folder for all that operators stage inside, removed at the end.
+
+    Results are lazy and read staged files, so they have to be written before the end.  Without
+    this, staged files stay in the shared scratch folder, and whoever owns that folder removes ``llm-*``.
+    """
+    path = f"{scratch_root(spark)}/llm-{uuid.uuid4().hex}"
+    held = _folder.set(path)
+    try:
+        yield path
+    finally:
+        _folder.reset(held)
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage: a lost executor costs only its running tasks, and a
     branch that reads the result twice computes it once.
     """
-    path = f"{scratch_root(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    root = _folder.get() or f"{scratch_root(spark)}/llm-{uuid.uuid4().hex}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

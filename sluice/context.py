@@ -35,10 +35,10 @@ class Run:
     source_zip: str = ""
 
     @classmethod
-    def start(cls, business_date: str | None = None, source_zip: str = "") -> Run:
+    def start(cls, business_date: str | None = None, source_zip: str = "", run_id: str | None = None) -> Run:
         return cls(
             resolve_business_date(business_date),
-            str(uuid.uuid4()),
+            run_id or str(uuid.uuid4()),
             datetime.now(timezone.utc),
             source_zip,
         )

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from sluice.context import Run, resolve_business_date
 from sluice.domains import vehicles as domain
-from sluice.plans.health import MAX_REJECT_RATE, RawTables, Result, run_health
-from sluice.sinks.files import FORMAT_OPTIONS, WRITE_MODES
+from sluice.plans.health import MAX_REJECT_RATE, RawTables, Result, run_health, staging_folder
+from sluice.sinks.files import FORMAT_OPTIONS, WRITE_MODES, remove_folder, stage
 from sluice.sources.archives import check_archives, list_members, read_archived_csv
 from sluice.sources.files import input_path, join_path, read_raw_csv, stored_bytes
 
@@ -29,6 +29,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--output", required=True, help="root folder of the published tables")
     parser.add_argument("--business-date", type=resolve_business_date, help="default: today in UTC")
+    parser.add_argument("--run-id", help="name of the run; a repeated append of the same run takes the place of its first try")
     parser.add_argument("--write-format", choices=sorted(FORMAT_OPTIONS), default="parquet")
     parser.add_argument("--write-mode", choices=WRITE_MODES, default="overwrite")
     parser.add_argument("--csv-delimiter", default=",")
@@ -45,11 +46,12 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
 
 def open_inputs(
-    spark: SparkSession, path: str, sep: str, business_date: str, check_header: bool = False
+    spark: SparkSession, path: str, sep: str, business_date: str, check_header: bool = False, folder: str | None = None
 ) -> RawTables:
     """The four raw tables out of archives or a folder of CSV files.
 
-    ``{date}`` at the end of a path stands for the archive of the run's date.
+    ``{date}`` at the end of a path stands for the archive of the run's date.  With a ``folder`` the
+    tables of contents are read once and staged there.
     """
     specs = {
         "telemetry": domain.TELEMETRY,
@@ -61,7 +63,9 @@ def open_inputs(
         path = input_path(path[: -len("{date}")], business_date)
     if path.lower().endswith(".zip"):
         # A few rows per archive, asked for several times.
-        members = list_members(spark, path).persist()
+        members = list_members(spark, path)
+        if folder is not None:
+            members = stage(members, folder, "members")
         check_archives(members, [s.file_name for s in specs.values()])
         frames = {
             name: read_archived_csv(spark, members, s.file_name, s.columns, sep, check_header)
@@ -84,8 +88,11 @@ def main(argv: Sequence[str] | None = None) -> Result:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("sluice-health").getOrCreate()
     source = args.input.rstrip("/").rsplit("/", 1)[-1]
-    run = Run.start(args.business_date, source)
-    raw = open_inputs(spark, args.input, args.csv_delimiter, run.business_date, args.check_header)
+    run = Run.start(args.business_date, source, args.run_id)
+    folder = staging_folder(spark, run)
+    # What a run of the same name left behind when it failed.
+    remove_folder(spark, folder)
+    raw = open_inputs(spark, args.input, args.csv_delimiter, run.business_date, args.check_header, folder)
     result = run_health(
         spark,
         raw,

@@ -181,3 +181,16 @@ def test_job_writes_csv(spark, raw, tmp_path):
     )
     files = list((tmp_path / "service_kpi_summary").rglob("*.csv"))
     assert files and files[0].read_text().startswith("dealer_id,")
+
+
+def test_a_named_run_can_be_repeated_in_append_mode(spark, raw, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    frames = [(domain.TELEMETRY, raw.telemetry), (domain.SERVICE, raw.service), (domain.VEHICLES, raw.vehicles), (domain.DEALERS, raw.dealers)]
+    for spec, df in frames:
+        df.select(*spec.columns).limit(300).toPandas().to_csv(folder / spec.file_name, index=False)
+    line = f"--input {folder} --output {tmp_path}/out --business-date 2026-12-01 --max-reject-rate 1 --write-mode append"
+    for run_id, times in (("a", 1), ("a", 1), ("b", 2)):
+        result = cli.main([f"{line} --run-id {run_id}"])
+        kept = published(spark, result.output, "vehicle_telemetry_clean")
+        assert kept.count() == times * kept.select("vin", "event_timestamp", "dtc_code").distinct().count()

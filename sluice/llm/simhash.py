@@ -277,8 +277,8 @@ BANDS, BAND_ROWS = 45, 3
 AGREED = 0.2
 #: Members up to which all of a bucket are paired at once; larger ones go by rounds.
 PAIRED = 16
-#: Pairs that a bucket of a round may add before its members are taken a few at a time.
-ROUND_PAIRS = 4096
+#: Pairs that a bucket of a round may add before its members are taken a few at a time: up to 512 members all at once.
+ROUND_PAIRS = 1 << 18
 
 LETTERS = re.compile(r"[^\W_]+")
 _draws = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
@@ -372,7 +372,10 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(spark: SparkSession, texts: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Links a, b between fingerprints of the pairs own, other of texts that cover each other."""
+    """Links a, b between fingerprints of the pairs own, other of texts that cover each other.
+
+    Only pairs that agree in enough of their sketches have their texts read.
+    """
     one = sketches.select("own", F.col("fp").alias("a"), F.col("sketch").alias("x"))
     two = sketches.select(F.col("own").alias("other"), F.col("fp").alias("b"), F.col("sketch").alias("y"))
     met = pairs.distinct().join(one, "own").join(two, "other").filter("a <> b").select("own", "other", "a", "b", "x", "y")

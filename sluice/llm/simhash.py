@@ -332,8 +332,8 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(shingles):
                 low = smallest(shingles)
                 found += bands(low)
-            # Sixteen bits of each smallest hash do to tell strangers.
-            sketches.append((low >> np.uint64(48)).astype(np.uint16).tobytes() if len(shingles) else None)
+            # Eight bits of each smallest hash do to tell strangers.
+            sketches.append((low >> np.uint64(56)).astype(np.uint8).tobytes() if len(shingles) else None)
             ends.append(len(found))
         flat = pa.array(np.array(found, np.uint64).view(np.int64))
         yield pa.RecordBatch.from_arrays(
@@ -352,7 +352,7 @@ def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        one, two = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in batch.columns[4:6])
+        one, two = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in batch.columns[4:6])
         yield batch.select([0, 1, 2, 3]).filter(pa.array((one == two).mean(1) >= AGREED))
 
 

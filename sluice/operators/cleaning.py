@@ -54,7 +54,7 @@ def provenance(run: Run) -> dict[str, Column]:
     }
 
 
-def clean(raw: DataFrame, spec: Dataset) -> DataFrame:
+def typed_columns(raw: DataFrame, spec: Dataset) -> DataFrame:
     """Typed columns of one dataset; columns the spec does not know pass through."""
 
     def typed(name: str) -> Column:
@@ -65,10 +65,18 @@ def clean(raw: DataFrame, spec: Dataset) -> DataFrame:
         return (step(text) if step else text).alias(name)
 
     others = [c for c in raw.columns if c not in spec.columns]
-    cleaned = raw.select(*[typed(c) for c in spec.columns], *others)
+    return raw.select(*[typed(c) for c in spec.columns], *others)
+
+
+def with_derived(cleaned: DataFrame, spec: Dataset) -> DataFrame:
     return cleaned.withColumns({name: make() for name, make in spec.derived.items()})
 
 
+def clean(raw: DataFrame, spec: Dataset) -> DataFrame:
+    """Typed and derived columns of one dataset."""
+    return with_derived(typed_columns(raw, spec), spec)
+
+
 @dataclass(frozen=True)
 class Curated:
     """One dataset after cleaning, dedupe and rules.
@@ -104,11 +112,14 @@ def curate(
     """Clean, keep one row per key, evaluate the rules.
 
     ``order_by`` names the columns that say which copy came first; they are
-    dropped, but for the archive a row came from.  Constants of the run are
-    added after the shuffle, not carried through it.  With ``keep_raw`` rejected rows keep the text they came as.
+    dropped, but for the archive a row came from.  Constants of the run and derived columns, on which no two
+    rows differ that are equal in the others, are added after the shuffle, not carried through it.  With ``keep_raw``
+    rejected rows keep the text they came as; rules are then applied before the shuffle, which may read derived columns.
     """
-    cleaned = clean_with_raw(raw, spec, run) if keep_raw else clean(raw, spec)
-    one_per_key = dedupe(cleaned, spec.keys, order_by, copies=COPIES)
+    if keep_raw:
+        one_per_key = dedupe(clean_with_raw(raw, spec, run), spec.keys, order_by, copies=COPIES)
+    else:
+        one_per_key = with_derived(dedupe(typed_columns(raw, spec), spec.keys, order_by, copies=COPIES), spec)
     stamps = {n: c for n, c in provenance(run).items() if n not in one_per_key.columns}
     helpers = [c for c in order_by if c != "source_zip"]
     columns = [c for c in one_per_key.columns if c != COPIES and c not in helpers]

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.context import Run, configure, planned_bytes, scratch_root, sized_shuffles
+from sluice.context import Run, configure, planned_bytes, scratch_root, sized_shuffles, small_splits
 from sluice.domains import vehicles as domain
 from sluice.operators import measures
 from sluice.operators.cleaning import COPIES, Curated, curate
@@ -99,7 +99,11 @@ class Curation:
         curated = self.raw.curated(name, spec, self.run, self.keep_raw)
         if self.scratch is None:
             return curated
-        return Curated(spec, self.run, stage(curated.evaluated, self.scratch, name))
+        return Curated(spec, self.run, self._staged_raw(curated.evaluated, name))
+
+    def _staged_raw(self, df: DataFrame, name: str) -> DataFrame:
+        with small_splits(df.sparkSession):
+            return stage(df, self.scratch, name)
 
     @cached_property
     def telemetry(self) -> Curated:
@@ -136,7 +140,7 @@ class Curation:
         """Each evaluated event once, with the profile of its vehicle and ``_known``."""
         profile = vehicle_profile(self.service.valid, self.vehicles.valid, self.dealers.valid)
         events = attach_profile(self._raw_telemetry.evaluated, profile.withColumn("_known", F.lit(True)), "left")
-        return stage(events, self.scratch, "events") if self.scratch else events
+        return self._staged_raw(events, "events") if self.scratch else events
 
     @cached_property
     def flagged(self) -> DataFrame:
@@ -286,11 +290,12 @@ def _run(
     def curated(name: str, spec: domain.Dataset) -> Callable[[], tuple[Curated, dict]]:
         return lambda: stage_curated(raw.curated(name, spec, run), folder)
 
-    (service, in_service), (vehicles, in_vehicles), (dealers, in_dealers) = together(
-        curated("service", domain.SERVICE),
-        curated("vehicles", domain.VEHICLES),
-        curated("dealers", domain.DEALERS),
-    )
+    with small_splits(spark):
+        (service, in_service), (vehicles, in_vehicles), (dealers, in_dealers) = together(
+            curated("service", domain.SERVICE),
+            curated("vehicles", domain.VEHICLES),
+            curated("dealers", domain.DEALERS),
+        )
     small_dealers = in_dealers["bytes"] <= broadcast_bytes
     small_vehicles = in_vehicles["bytes"] <= broadcast_bytes
 
@@ -308,20 +313,21 @@ def _run(
     events = attach_profile(telemetry.evaluated, profile, "left", small_profile)
     known = is_valid() & F.col("_known").isNotNull()
     unknown = is_valid() & F.col("_known").isNull()
-    events, in_events = measured(
-        events,
-        folder,
-        "events",
-        input_rows=F.sum(COPIES),
-        kept_rows=F.count(F.lit(1)),
-        reject_rows=count_true(~is_valid()),
-        unknown_rows=count_true(unknown),
-        enriched_rows=count_true(known),
-        **{
-            name: count_true(known & broken)
-            for name, broken in row_checks(domain.SEVERITIES).items()
-        },
-    )
+    with small_splits(spark):
+        events, in_events = measured(
+            events,
+            folder,
+            "events",
+            input_rows=F.sum(COPIES),
+            kept_rows=F.count(F.lit(1)),
+            reject_rows=count_true(~is_valid()),
+            unknown_rows=count_true(unknown),
+            enriched_rows=count_true(known),
+            **{
+                name: count_true(known & broken)
+                for name, broken in row_checks(domain.SEVERITIES).items()
+            },
+        )
     telemetry_clean = events.filter(is_valid()).select(*telemetry_columns)
     enriched = events.filter(known)
 
@@ -378,9 +384,9 @@ def _run(
 
     report = quality_report(spark, checks, counts, run)
 
-    def put(name: str, df: DataFrame) -> Callable[[], str]:
+    def put(name: str, df: DataFrame, spread: bool = True) -> Callable[[], str]:
         # A run that is repeated under its id takes the place of what it appended before.
-        return lambda: publish(df, output, domain.OUTPUTS[name], run.business_date, mode, fmt, run.run_id)
+        return lambda: publish(df, output, domain.OUTPUTS[name], run.business_date, mode, fmt, run.run_id, spread)
 
     try:
         enforce(checks)
@@ -401,7 +407,8 @@ def _run(
         put("vehicle_health_enriched", enriched),
         put("daily_vehicle_health_summary", summary),
         put("service_kpi_summary", kpis),
-        put("rejects", rejects),
+        # Each task reads one staged table, so it holds rejects of one dataset, of events two.
+        put("rejects", rejects, spread=False),
     )
     put("data_quality_report", report)()
     if database and fmt == "parquet":

@@ -48,6 +48,7 @@ def replace_slice(
     mode: str = "overwrite",
     fmt: str = "parquet",
     run_id: str | None = None,
+    spread: bool = True,
 ) -> str:
     """Write one slice of a table into its own folder and return that folder.
 
@@ -55,7 +56,8 @@ def replace_slice(
     that no longer occur included, and leaves every other slice alone.  Modes
     apply to the slice.  The old files count until the new ones are complete
     (see ``sluice.sinks.swap``).  An append with a ``run_id`` takes the place of what a run of that id
-    appended before, so it can be repeated; without one every append adds.
+    appended before, so it can be repeated; without one every append adds.  Rows of which each task holds few
+    sub-partitions anyway need not be shuffled to ``spread`` them.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}")
@@ -63,7 +65,7 @@ def replace_slice(
     name = f"{slice_column}={slice_value}"
     folder = join_path(path, name)
     rows = df.drop(slice_column)
-    if sub_partitions:
+    if sub_partitions and spread:
         # Even, well-filled files: a large partition is cut over several tasks,
         # small ones share a task.
         rows = rows.hint("rebalance", *sub_partitions)
@@ -90,6 +92,7 @@ def publish(
     mode: str = "overwrite",
     fmt: str = "parquet",
     run_id: str | None = None,
+    spread: bool = True,
 ) -> str:
     """Write one date of an output table."""
     slice_column, *rest = spec.partition_by
@@ -102,6 +105,7 @@ def publish(
         mode,
         fmt,
         run_id,
+        spread,
     )
 
 

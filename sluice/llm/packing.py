@@ -17,11 +17,12 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ DIMENSIONS = 3
 LEVEL = 16
 #: Tokens that one task packs, about.
 TASK_TOKENS = 16 << 20
+#: Letters up to which a text goes by remembered words.
+SHORT_TEXT = 128
 #: Words whose ids a worker remembers.
 REMEMBERED = 400_000
 #: Letters of the longest word that is remembered.
@@ -68,7 +71,9 @@ def _bytes_of(token: str) -> bytes:
 class Encoder:
     """Token ids of the tokenizer file, by way of the ids of its words.
 
-    The pre-tokenizer of a byte-level BPE always cuts before a lone space between two
+    Longer texts are encoded at once, where the order of the merges is that of their ids; that takes less time than
+    to look up each word.  Shorter ones, and all texts of other vocabularies, go by remembered words:
+    the pre-tokenizer of a byte-level BPE always cuts before a lone space between two
     other characters, so a text can be cut there and the ids of each part be remembered.
     Other texts, and those that hold a special token, go through the tokenizer whole.
     """
@@ -80,12 +85,13 @@ class Encoder:
         self.wide = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r" \s", *map(re.escape, special)]))
+        self.special = special
         self.known: dict[str, bytes] = {}
-        self.ids = self._by_rank() or (lambda part: self.tokenizer.encode(part, add_special_tokens=False).ids)
+        self.ranked = self._by_rank()
+        self.ids = self.ranked.encode_ordinary if self.ranked else (lambda part: self.tokenizer.encode(part, add_special_tokens=False).ids)
 
-    def _by_rank(self) -> Callable[[str], list[int]] | None:
+    def _by_rank(self) -> tiktoken.Encoding | None:
         """A faster encoder of the same vocabulary, where the order of its merges is that of its ids."""
-        import tiktoken
         from tokenizers.pre_tokenizers import ByteLevel
 
         spec = json.loads(self.tokenizer.to_str())
@@ -98,12 +104,14 @@ class Encoder:
         if any(model["vocab"].get(a + b) != alphabet + i for i, (a, b) in enumerate(merges)):
             return None
         ranks = {_bytes_of(token): i for token, i in model["vocab"].items() if i < alphabet + len(merges)}
-        return tiktoken.Encoding("of file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return tiktoken.Encoding("of file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.wide).tobytes()
 
     def encode(self, text: str) -> bytes:
+        if self.ranked and len(text) > SHORT_TEXT and not any(s in text for s in self.special):
+            return self.ranked.encode_to_numpy(text, disallowed_special=()).astype(self.wide).tobytes()
         if self.whole.search(text):
             return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         first, *others = text.split(" ")

@@ -84,3 +84,11 @@ def test_copies_are_spread_over_ranges(spark, make):
     rows = [(i, "same text for all of these rows") for i in range(400)]
     pieces = pk.pack_documents(spark, make(rows), task_tokens=500).collect()
     assert len({p.sequence_id // pk.RANGE_SEQUENCES for p in pieces}) > 3
+
+
+def test_longer_texts_are_encoded_at_once(tokenizer):
+    tool = pk.Encoder(PATH)
+    long = "Some  words\n\n and\tmore, of it's 12,345 kinds é\U0001f600 " * 9
+    for text in (long, long + "<|endoftext|>" + long, " " + long + "  ", "\n" + long + "\r\n"):
+        assert np.frombuffer(tool.encode(text), tool.wide).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert not tool.known and tool.encode("few words") and tool.known

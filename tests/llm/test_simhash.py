@@ -171,3 +171,23 @@ def test_covered_words():
     assert sh.covered(of(text), of("w0 w1 w2 w3 w4 w5 x")) == 6 / 20
     assert sh.covered(of("a b"), of("A, b!")) == 1.0 and sh.covered(of("a b"), of("a c")) == 0.0
     assert sh.covered(of(""), of("a")) == 0.0 and len(of("...")) == 0
+
+
+def test_blocks_hold_all_that_cover_each_other(prose):
+    texts = [changed(prose(1, 60) + " " + prose(2 + i % 2, 60), i, 0.03) for i in range(40)] + ["a b", "A, b!", "a c"]
+    shingles = [sh.similar_shingles(t.encode()) for t in texts]
+    marks = [(s >> np.uint64(48)).astype("<u2") for s in shingles]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(len(texts))]
+    want = {(i, j) for i, j in pairs if min(sh.covered(shingles[i], shingles[j]), sh.covered(shingles[j], shingles[i])) >= sh.COVERED}
+    found = set(sh.coverable(marks, marks))
+    assert want <= found and len(found) < len(want) + 20
+
+
+def test_large_buckets_meet_in_blocks(spark, make, prose):
+    """Strangers that share a passage are not paired off as rows."""
+    rows = [(bytes([i]), (sh.similar_shingles(prose(i, 100).encode()) >> np.uint64(48)).astype("<u2").tobytes()) for i in range(120)]
+    many = spark.createDataFrame([(7, *r) for r in rows], "band long, own binary, mark binary")
+    pairs = sh.compared(many.select("band", "own"), many)
+    met = pairs._jdf.queryExecution().optimizedPlan().children().head()
+    assert pairs.sparkSession is spark and pairs.count() == 0
+    assert "collect_list" in met.toString()

@@ -191,3 +191,25 @@ def test_large_buckets_meet_in_blocks(spark, make, prose):
     met = pairs._jdf.queryExecution().optimizedPlan().children().head()
     assert pairs.sparkSession is spark and pairs.count() == 0
     assert "collect_list" in met.toString()
+
+
+def test_large_buckets_are_through_after_all_had_their_turn(spark, make, prose, monkeypatch):
+    """Components are found before and after the members outside are compared, and not once more."""
+    found, connected = [], sh.connected
+    monkeypatch.setattr(sh, "connected", lambda *a: found.append(1) or connected(*a))
+    text = prose(1, 120)
+    rows = [(i, changed(text, i, 0.03)) for i in range(120)]
+    rows += [(200 + i, prose(2, 60) + " " + prose(50 + i, 60)) for i in range(40)]
+    kept = sorted(r.doc_id for r in sh.keep_first_rows(spark, make(rows)).collect())
+    assert kept == brute_kept(rows)
+    assert len(found) <= 2
+
+
+def test_strangers_that_share_a_passage_have_no_partner(spark, prose):
+    own = [prose(1, 60) + " " + prose(50 + i, 60) for i in range(30)] + [changed(prose(3, 90), i, 0.02) for i in range(5)]
+    own += ["two words", "two  words", "no other"]
+    rows = [(bytes([i]), sh.similar_shingles(t.encode()).tobytes()) for i, t in enumerate(own)]
+    sets = spark.createDataFrame(rows, "own binary, shingles binary").repartition(4)
+    each = sets.mapInArrow(sh._each_shingle, "own binary, shingle long")
+    found = {r.own[0] for r in sh.partnered(sets, sets, each).collect()}
+    assert found == {*range(30, 37)}

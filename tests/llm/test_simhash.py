@@ -210,6 +210,5 @@ def test_strangers_that_share_a_passage_have_no_partner(spark, prose):
     own += ["two words", "two  words", "no other"]
     rows = [(bytes([i]), sh.similar_shingles(t.encode()).tobytes()) for i, t in enumerate(own)]
     sets = spark.createDataFrame(rows, "own binary, shingles binary").repartition(4)
-    each = sets.mapInArrow(sh._each_shingle, "own binary, shingle long")
-    found = {r.own[0] for r in sh.partnered(sets, sets, each).collect()}
+    found = {r.own[0] for r in sh.partnered(sets, sets).collect()}
     assert found == {*range(30, 37)}
